@@ -1,43 +1,48 @@
-"""Distance on the WGS84 ellipsoid as a Column expression."""
+"""Distance on the WGS84 ellipsoid, from native expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airq.functions.aggregates import col
-
 # WGS84 equatorial radius in metres and flattening; mean radius.
 EQUATOR_M = 6378137.0
 FLATTENING = 1 / 298.257223563
 MEAN_RADIUS_M = 6371008.8
 
 
-def _half_angle_sine_squared(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    s1, s2 = F.sin((lat2 - lat1) / 2), F.sin((lon2 - lon1) / 2)
-    return F.least(s1 * s1 + F.cos(lat1) * F.cos(lat2) * s2 * s2, F.lit(1.0))
-
-
-def distance_m(lat1, lon1, lat2, lon2, method: str = "lambert") -> Column:
-    """Metres between two points given in degrees.
+def with_distance_m(
+    df: DataFrame, name: str, from_lat: str, from_lon: str, to_lat: str, to_lon: str, method: str = "lambert"
+) -> DataFrame:
+    """Add the metres between two points given in degrees.
 
     ``lambert`` corrects the great circle between reduced latitudes for the
     flattening (metre accuracy up to 1000 km); ``haversine`` is the plain
     sphere. Identical points give 0; for antipodes, where the correction has
     no limit, the uncorrected great circle stands.
+
+    The steps are columns of their own, since each is used several times:
+    Spark then computes it once per row.
     """
-    la1, lo1, la2, lo2 = (F.radians(col(c)) for c in (lat1, lon1, lat2, lon2))
-    if method == "haversine":
-        h = _half_angle_sine_squared(la1, lo1, la2, lo2)
-        return 2 * MEAN_RADIUS_M * F.asin(F.sqrt(h))
-    if method != "lambert":
+    if method not in ("lambert", "haversine"):
         raise ValueError(f"unknown distance method {method!r}")
-    b1 = F.atan((1 - FLATTENING) * F.tan(la1))
-    b2 = F.atan((1 - FLATTENING) * F.tan(la2))
-    h = _half_angle_sine_squared(b1, lo1, b2, lo2)
-    angle = 2 * F.asin(F.sqrt(h))
-    mid, half = (b1 + b2) / 2, (b2 - b1) / 2
-    x = (angle - F.sin(angle)) * F.pow(F.sin(mid) * F.cos(half), F.lit(2.0)) / (1 - h)
-    y = (angle + F.sin(angle)) * F.pow(F.cos(mid) * F.sin(half), F.lit(2.0)) / h
-    corrected = EQUATOR_M * (angle - FLATTENING / 2 * (x + y))
-    return F.when(h == 0, F.lit(0.0)).when(h == 1, EQUATOR_M * angle).otherwise(corrected)
+
+    def latitude(c: str) -> Column:
+        geodetic = F.radians(F.col(c))
+        return F.atan((1 - FLATTENING) * F.tan(geodetic)) if method == "lambert" else geodetic
+
+    b1, b2, h, angle, s1, s2 = (F.col(f"_{name}_{x}") for x in ("b1", "b2", "h", "angle", "s1", "s2"))
+    steps = df.withColumns({f"_{name}_b1": latitude(from_lat), f"_{name}_b2": latitude(to_lat)})
+    steps = steps.withColumns({
+        f"_{name}_s1": F.sin((b2 - b1) / 2), f"_{name}_s2": F.sin((F.radians(F.col(to_lon)) - F.radians(F.col(from_lon))) / 2)})
+    steps = steps.withColumn(f"_{name}_h", F.least(s1 * s1 + F.cos(b1) * F.cos(b2) * s2 * s2, F.lit(1.0)))
+    steps = steps.withColumn(f"_{name}_angle", 2 * F.asin(F.sqrt(h)))
+    if method == "haversine":
+        metres = MEAN_RADIUS_M * angle
+    else:
+        mid, half = (b1 + b2) / 2, (b2 - b1) / 2
+        x = (angle - F.sin(angle)) * F.pow(F.sin(mid) * F.cos(half), F.lit(2.0)) / (1 - h)
+        y = (angle + F.sin(angle)) * F.pow(F.cos(mid) * s1, F.lit(2.0)) / h
+        corrected = EQUATOR_M * (angle - FLATTENING / 2 * (x + y))
+        metres = F.when(h == 0, F.lit(0.0)).when(h == 1, EQUATOR_M * angle).otherwise(corrected)
+    return steps.withColumn(name, metres).drop(*[f"_{name}_{x}" for x in ("b1", "b2", "s1", "s2", "h", "angle")])

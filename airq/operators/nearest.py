@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airq.functions.aggregates import n_rows
-from airq.functions.geo import distance_m
+from airq.functions.geo import with_distance_m
 from airq.operators.align import union_aligned
 from airq.sources.staging import stage
 
@@ -61,10 +61,10 @@ def _first_size(stations: DataFrame) -> int:
 
 def _best(pairs: DataFrame) -> DataFrame:
     # Compared to a tenth of a millimetre: equal distances tie despite rounding errors.
-    metres = distance_m("lat", "lon", "_lat", "_lon")
-    candidate = F.struct(F.round(metres, 4).alias("_rank"), F.col("_code").alias("code"), metres.alias("metres"))
+    measured = with_distance_m(pairs, "metres", "lat", "lon", "_lat", "_lon")
+    candidate = F.struct(F.round("metres", 4).alias("_rank"), F.col("_code").alias("code"), "metres")
     best = F.min(F.when(F.col("_code").isNotNull(), candidate)).alias("best")
-    return pairs.groupBy("Date", "lat", "lon").agg(best)
+    return measured.groupBy("Date", "lat", "lon").agg(best)
 
 
 def nearest_reporting(sites: DataFrame, stations: DataFrame) -> DataFrame:

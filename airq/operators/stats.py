@@ -65,8 +65,16 @@ def _complete(x: str, y: str) -> Column:
     return F.col(x).isNotNull() & F.col(y).isNotNull()
 
 
+def _sums(x: str, y: str) -> list[Column]:
+    return [
+        F.regr_count(y, x).alias("n"), F.regr_avgx(y, x).alias("_ax"), F.regr_avgy(y, x).alias("_ay"),
+        F.regr_sxx(y, x).alias("_xx"), F.regr_syy(y, x).alias("_yy"), F.regr_sxy(y, x).alias("_xy"),
+    ]
+
+
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.where(_complete(x, y)).agg(F.corr(x, y).alias("r"))
+    """Correlation over complete pairs, NULL where a side does not vary."""
+    return linear_fit(df, x, y).select("r")
 
 
 def linear_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
@@ -75,15 +83,18 @@ def linear_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFra
     All terms are mergeable sums, so a large group costs no more than a small
     one. Where x does not vary there is no slope; below three rows no error.
     """
-    sums = df.where(_complete(x, y)).groupBy(*by).agg(
-        F.regr_count(y, x).alias("n"), F.corr(x, y).alias("r"), F.regr_r2(y, x).alias("r2"),
-        F.regr_intercept(y, x).alias("intercept"), F.regr_slope(y, x).alias("slope"),
-        F.regr_sxx(y, x).alias("_xx"), F.regr_syy(y, x).alias("_yy"), F.regr_sxy(y, x).alias("_xy"),
-    )
-    left_over = F.col("_yy") - F.try_divide(F.col("_xy") * F.col("_xy"), F.col("_xx"))
+    sums = df.where(_complete(x, y)).groupBy(*by).agg(*_sums(x, y))
+    xx, yy, xy = F.col("_xx"), F.col("_yy"), F.col("_xy")
     spare = F.when(F.col("n") > 2, F.col("n") - 2)
-    error = F.sqrt(F.try_divide(F.try_divide(F.greatest(left_over, F.lit(0.0)), spare), F.col("_xx")))
-    return sums.withColumn("slope_se", error).drop("_xx", "_yy", "_xy")
+    rest = F.greatest(yy - F.try_divide(xy * xy, xx), F.lit(0.0))
+    fit = sums.withColumns({
+        "r": F.try_divide(xy, F.sqrt(xx) * F.sqrt(yy)),
+        "r2": F.try_divide(xy * xy, xx * yy),
+        "slope": F.try_divide(xy, xx),
+        "slope_se": F.sqrt(F.try_divide(F.try_divide(rest, spare), xx)),
+    })
+    fit = fit.withColumn("intercept", F.col("_ay") - F.col("slope") * F.col("_ax"))
+    return fit.select(*by, "n", "r", "r2", "intercept", "slope", "slope_se")
 
 
 def with_regression_label(fit: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from airq.functions import times
 from airq.functions.aggregates import n_rows
-from airq.functions.geo import distance_m
+from airq.functions.geo import with_distance_m
 from airq.functions.text import clean_postcode, date_device, format_postcode, postcode_area, to_int
 from airq.operators import lookup as L
 from airq.operators import quality as Q
@@ -797,7 +797,8 @@ def geodesic_distance(t: Tables):
         F.col("device_id").alias("c_custkey"), "SchoolLatitude", "SchoolLongitude",
         (58.0 - F.col("SchoolType") / 4.0).alias("c"), (F.col("SchoolType") / 20.0).alias("d"))
     ends = ("SchoolLatitude", "SchoolLongitude", "c", "d")
-    return p.withColumns({"km": distance_m(*ends) / 1000, "km_sphere": distance_m(*ends, method="haversine") / 1000})
+    both = with_distance_m(with_distance_m(p, "m", *ends), "m_sphere", *ends, method="haversine")
+    return both.withColumns({"km": F.col("m") / 1000, "km_sphere": F.col("m_sphere") / 1000})
 
 
 _PAIRS = """WITH pairs AS (SELECT SchoolId_short, site AS station, arg_min(km_distance_to_station, "DateTime") AS distance_km FROM in_out
