@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -54,9 +54,10 @@ def missing_ratio(c: str | Column) -> Column:
     return F.avg(col(c).isNull().cast("int"))
 
 
-def any_true(condition: Column) -> Column:
-    """True when one row meets the condition; unknown counts as false."""
-    return F.coalesce(F.bool_or(condition), F.lit(False))
+def any_true(condition: Column, window: WindowSpec | None = None) -> Column:
+    """True when one row of the group or window meets the condition; unknown counts as false."""
+    found = F.bool_or(condition)
+    return F.coalesce(found if window is None else found.over(window), F.lit(False))
 
 
 def nan_to_null(df: DataFrame, *names: str) -> DataFrame:

@@ -15,10 +15,11 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from airq.functions.aggregates import any_true, missing_ratio, n_rows, strict, strict_where
 from airq.functions.times import hour_between
-from airq.operators.groups import MAX_GROUP_ROWS, with_row_windows
+from airq.operators.groups import with_row_windows
 
 DAY = ("Date", "device_id")
 
@@ -100,8 +101,7 @@ def with_co2_gradient(
     k: int = 5,
     reach: int = 7,
     order: Sequence[str] = ("DateTime",),
-    max_rows: int = MAX_GROUP_ROWS,
-    bounded: bool = False,
+    **limits,
 ) -> DataFrame:
     """Add ``co2_gradient``: change of the k-row mean from ``reach`` rows back to ``reach`` rows on.
 
@@ -112,7 +112,7 @@ def with_co2_gradient(
             F.count("rco2").over(w.rowsBetween(1 - k, 0)) == k, F.avg("rco2").over(w.rowsBetween(1 - k, 0)))},
         {"co2_gradient": lambda w: F.lead("_smooth", reach).over(w) - F.lag("_smooth", reach).over(w)},
     ]
-    out = with_row_windows(df, DAY, order, steps, before=reach + k - 1, after=reach, max_rows=max_rows, bounded=bounded)
+    out = with_row_windows(df, DAY, order, steps, before=reach + k - 1, after=reach, **limits)
     return out.drop("_smooth")
 
 
@@ -125,6 +125,22 @@ def gradient_days(
     return days_where(graded, any_true(inside & (F.col("co2_gradient") > threshold)))
 
 
+def keep_gradient_days(
+    df: DataFrame, threshold: float = 100, first_hour: int = 9, last_hour: int = 15, tz: str = "UTC", bounded: bool = False, **window
+) -> DataFrame:
+    """Readings of the days that `gradient_days` finds.
+
+    Bounded days are judged where the gradient window has put them already, so
+    the readings move once; otherwise the days are listed first and joined.
+    """
+    if not bounded:
+        return keep_days(df, gradient_days(df, threshold, first_hour, last_hour, tz, **window))
+    graded = with_co2_gradient(df, bounded=True, **{k: v for k, v in window.items() if k != "bound_by"})
+    rises = hour_between("DateTime", first_hour, last_hour, tz) & (F.col("co2_gradient") > threshold)
+    judged = graded.withColumn("_rising", any_true(rises, W.partitionBy(*DAY)))
+    return judged.where("_rising").select(*df.columns)
+
+
 def step_days(
     df: DataFrame,
     threshold: float = 200,
@@ -133,7 +149,7 @@ def step_days(
     last_hour: int = 15,
     tz: str = "UTC",
     order: Sequence[str] = ("DateTime",),
-    max_rows: int = MAX_GROUP_ROWS,
+    **limits,
 ) -> DataFrame:
     """Days with a CO2 step between successive readings of a device.
 
@@ -143,7 +159,7 @@ def step_days(
     change = (lambda w: F.col("rco2") - F.lag("rco2", 1).over(w)) if rising else (
         lambda w: F.lag("rco2", 1).over(w) - F.col("rco2"))
     stepped = with_row_windows(
-        df.select(*DAY, *order, "rco2"), ["device_id"], order, [{"_step": change}], before=1, after=0, max_rows=max_rows)
+        df.select(*DAY, *order, "rco2"), ["device_id"], order, [{"_step": change}], before=1, after=0, **limits)
     inside = hour_between("DateTime", first_hour, last_hour, tz)
     return days_where(stepped, any_true(inside & (F.col("_step") > threshold)))
 
@@ -151,11 +167,11 @@ def step_days(
 def clean_co2_minutes(df: DataFrame, rule: Occupancy = OCCUPIED_MINUTES, threshold: float = 100, tz: str = "UTC", **window) -> DataFrame:
     """Occupied days that also show a CO2 gradient."""
     kept = keep_where(df, occupied(rule, tz))
-    return keep_days(kept, gradient_days(kept, threshold, rule.first_hour, rule.last_hour, tz, **window))
+    return keep_gradient_days(kept, threshold, rule.first_hour, rule.last_hour, tz, bound_by=df, **window)
 
 
 def clean_co2_quarters(df: DataFrame, rule: Occupancy = OCCUPIED_QUARTERS, threshold: float = 200, tz: str = "UTC", **window) -> DataFrame:
     """The same for 15-minute series, with a step instead of a gradient."""
     kept = keep_where(df, occupied(rule, tz))
-    steps = step_days(kept, threshold, first_hour=rule.first_hour, last_hour=rule.last_hour, tz=tz, **window)
+    steps = step_days(kept, threshold, first_hour=rule.first_hour, last_hour=rule.last_hour, tz=tz, bound_by=df, **window)
     return keep_days(kept, steps)

@@ -11,6 +11,7 @@ from airq.functions.aggregates import is_finite, n_distinct
 from airq.functions.text import distance_label, regression_label
 from airq.functions.times import season
 from airq.operators.groups import MAX_GROUP_ROWS, first_per_key, group_quantiles
+from airq.sources.staging import stage
 
 
 def site_pairs(in_out: DataFrame, station: str = "site") -> DataFrame:
@@ -29,7 +30,11 @@ def site_pairs(in_out: DataFrame, station: str = "site") -> DataFrame:
 
 
 def distance_summary(pairs: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """One row: schools, mean, median, smallest and largest distance, label."""
+    """One row: schools, mean, median, smallest and largest distance, label.
+
+    The pairs are read several times and are costly to make, so they are staged.
+    """
+    pairs = stage(pairs.select("SchoolId_short", "distance_km"), "pairs")
     plain = pairs.agg(
         n_distinct("SchoolId_short").cast("bigint").alias("n_schools"), F.avg("distance_km").alias("mean_km"),
         F.min("distance_km").alias("min_km"), F.max("distance_km").alias("max_km"),

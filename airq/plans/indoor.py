@@ -49,11 +49,10 @@ def indoor_minutes(series: DataFrame, devices: DataFrame | None = None, rules: C
         df = keep_devices(df, devices)
     judged = Q.keep_where(
         df, Q.complete(rules.complete_day), Q.plausible(rules.extremes), Q.occupied(rules.occupancy, rules.tz))
-    rising = Q.gradient_days(
+    return Q.keep_gradient_days(
         judged, rules.gradient, rules.occupancy.first_hour, rules.occupancy.last_hour, rules.tz,
-        k=rules.smooth_rows, reach=rules.reach_rows, order=rules.order, bounded=rules.one_row_per_minute,
+        bounded=rules.one_row_per_minute, bound_by=df, k=rules.smooth_rows, reach=rules.reach_rows, order=rules.order,
     )
-    return Q.keep_days(judged, rising)
 
 
 def school_hour_minutes(

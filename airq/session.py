@@ -17,6 +17,8 @@ def local_session(cpus: int | None = None, name: str = "airq") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        # Test tables are small; keep their shuffles spread over the cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.log.level", "ERROR")
         .getOrCreate()
     )

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_staged: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; a local one only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -36,9 +39,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_staged(spark: SparkSession) -> int:
+    """Remove the tables this process has staged, once their results are written."""
+    removed = 0
+    while _staged:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        removed += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return removed
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast hint for a staged or stored table whose row count was checked.
 

@@ -13,6 +13,9 @@ HOLIDAYS = ["2024-01-15"]
 TERMS = [("autumn", "2024-01-03", "2024-01-12"), ("spring", "2024-01-22", "2024-01-26")]
 
 
+_SCHEMAS: dict = {}
+
+
 class Tables:
     """The test tables of one folder and the views over them."""
 
@@ -20,7 +23,10 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def readings_long(self) -> DataFrame:
         return self.table("events").select(

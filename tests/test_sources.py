@@ -80,3 +80,10 @@ def test_progress_columns_as_text(spark, tmp_path):
     spark.range(2).select(*[F.lit(1).alias(c) for c in schemas.PROGRESS_COLUMNS]).write.parquet(str(tmp_path / "p"))
     df = tables.read_columns(spark, str(tmp_path / "p"), schemas.PROGRESS_COLUMNS, schemas.PROGRESS_TEXT)
     assert dict(df.dtypes)["StepsState"] == "string" and dict(df.dtypes)["Id"] == "int"
+
+
+def test_staged_tables_are_released(spark):
+    staged = staging.stage(spark.range(3), "released")
+    path = staged.inputFiles()[0]
+    assert staging.release_staged(spark) >= 1
+    assert not outputs._exists(spark, path)
