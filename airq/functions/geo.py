@@ -12,37 +12,56 @@ MEAN_RADIUS_M = 6371008.8
 
 
 def with_distance_m(
-    df: DataFrame, name: str, from_lat: str, from_lon: str, to_lat: str, to_lon: str, method: str = "lambert"
+    df: DataFrame, name: str, from_lat: str, from_lon: str, to_lat: str, to_lon: str, method: str = "ellipsoid"
 ) -> DataFrame:
     """Add the metres between two points given in degrees.
 
-    ``lambert`` corrects the great circle between reduced latitudes for the
-    flattening (metre accuracy up to 1000 km); ``haversine`` is the plain
-    sphere. Identical points give 0; for antipodes, where the correction has
-    no limit, the uncorrected great circle stands.
+    ``ellipsoid`` corrects the great circle between reduced latitudes by the
+    first and second power of the flattening (Thomas' closed formula, within
+    millimetres up to 1000 km); ``haversine`` is the plain sphere. Identical
+    points give 0; for antipodes, where the corrections have no limit, the
+    uncorrected great circle stands.
 
     The steps are columns of their own, since each is used several times:
     Spark then computes it once per row.
     """
-    if method not in ("lambert", "haversine"):
+    if method not in ("ellipsoid", "haversine"):
         raise ValueError(f"unknown distance method {method!r}")
 
-    def latitude(c: str) -> Column:
-        geodetic = F.radians(F.col(c))
-        return F.atan((1 - FLATTENING) * F.tan(geodetic)) if method == "lambert" else geodetic
+    def c(x: str) -> Column:
+        return F.col(f"_{name}_{x}")
 
-    b1, b2, h, angle, s1, s2 = (F.col(f"_{name}_{x}") for x in ("b1", "b2", "h", "angle", "s1", "s2"))
-    steps = df.withColumns({f"_{name}_b1": latitude(from_lat), f"_{name}_b2": latitude(to_lat)})
-    steps = steps.withColumns({
-        f"_{name}_s1": F.sin((b2 - b1) / 2), f"_{name}_s2": F.sin((F.radians(F.col(to_lon)) - F.radians(F.col(from_lon))) / 2)})
-    steps = steps.withColumn(f"_{name}_h", F.least(s1 * s1 + F.cos(b1) * F.cos(b2) * s2 * s2, F.lit(1.0)))
-    steps = steps.withColumn(f"_{name}_angle", 2 * F.asin(F.sqrt(h)))
+    def add(frame: DataFrame, **values: Column) -> DataFrame:
+        return frame.withColumns({f"_{name}_{k}": v for k, v in values.items()})
+
+    def latitude(column: str) -> Column:
+        geodetic = F.radians(F.col(column))
+        return F.atan((1 - FLATTENING) * F.tan(geodetic)) if method == "ellipsoid" else geodetic
+
+    def square(x: Column) -> Column:
+        return x * x
+
+    out = add(df, b1=latitude(from_lat), b2=latitude(to_lat))
+    out = add(
+        out, sm=F.sin((c("b1") + c("b2")) / 2), sd=F.sin((c("b2") - c("b1")) / 2),
+        sl=F.sin((F.radians(F.col(to_lon)) - F.radians(F.col(from_lon))) / 2))
+    out = add(out, h=F.least(F.greatest(
+        square(c("sd")) + (1 - square(c("sm")) - square(c("sd"))) * square(c("sl")), F.lit(0.0)), F.lit(1.0)))
+    out = add(out, arc=2 * F.asin(F.sqrt(c("h"))))
     if method == "haversine":
-        metres = MEAN_RADIUS_M * angle
+        metres = MEAN_RADIUS_M * c("arc")
     else:
-        mid, half = (b1 + b2) / 2, (b2 - b1) / 2
-        x = (angle - F.sin(angle)) * F.pow(F.sin(mid) * F.cos(half), F.lit(2.0)) / (1 - h)
-        y = (angle + F.sin(angle)) * F.pow(F.cos(mid) * s1, F.lit(2.0)) / h
-        corrected = EQUATOR_M * (angle - FLATTENING / 2 * (x + y))
-        metres = F.when(h == 0, F.lit(0.0)).when(h == 1, EQUATOR_M * angle).otherwise(corrected)
-    return steps.withColumn(name, metres).drop(*[f"_{name}_{x}" for x in ("b1", "b2", "s1", "s2", "h", "angle")])
+        # Without a guard these would divide by zero at h = 0 and h = 1.
+        inner = (c("h") > 0) & (c("h") < 1)
+        out = add(
+            out, sin=F.when(inner, 2 * F.sqrt(c("h") * (1 - c("h")))), cos=1 - 2 * c("h"),
+            u=F.when(inner, 2 * square(c("sm")) * (1 - square(c("sd"))) / (1 - c("h"))),
+            v=F.when(inner, 2 * square(c("sd")) * (1 - square(c("sm"))) / c("h")))
+        out = add(out, t=F.when(inner, c("arc") / c("sin")), x=c("u") + c("v"), y=c("u") - c("v"))
+        t, x, y, e = c("t"), c("x"), c("y"), 2 * c("cos")
+        d = 4 * t * t
+        first = (t * x - y) * (FLATTENING / 4)
+        second = (x * (d * e + (t - (d * e - e) / 2) * x) - y * (2 * d + e * y) + d * x * y) * (FLATTENING**2 / 64)
+        metres = F.coalesce(EQUATOR_M * c("sin") * (t - first + second), EQUATOR_M * c("arc"))
+    temporary = [x for x in out.columns if x.startswith(f"_{name}_")]
+    return out.withColumn(name, metres).drop(*temporary)

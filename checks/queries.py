@@ -788,7 +788,7 @@ def in_out_link(t: Tables):
     "geodesic_distance", "c_custkey:i km:f km_sphere:f",
     f"""WITH p AS (SELECT c_custkey, SchoolLatitude AS a, SchoolLongitude AS b, 58.0::DOUBLE - c_nationkey / 4.0::DOUBLE AS c, c_nationkey / 20.0::DOUBLE AS d
             FROM sites JOIN customer ON c_custkey = device_id)
-        SELECT c_custkey, ({sql_distance("a", "b", "c", "d")}) / 1000 AS km,
+        SELECT c_custkey, {sql_distance("a", "b", "c", "d")}, metres / 1000 AS km,
             2 * 6371.0088::DOUBLE * asin(sqrt(least(power(sin((radians(c) - radians(a)) / 2), 2)
                 + cos(radians(a)) * cos(radians(c)) * power(sin((radians(d) - radians(b)) / 2), 2), 1.0::DOUBLE))) AS km_sphere FROM p""",
 )

@@ -78,17 +78,16 @@ class Tables:
 
 
 def sql_distance(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    """The ellipsoidal distance in SQL."""
-    b1 = f"atan({1 - FLATTENING!r}::DOUBLE * tan(radians({lat1})))"
-    b2 = f"atan({1 - FLATTENING!r}::DOUBLE * tan(radians({lat2})))"
-    s1, s2 = f"sin(({b2} - {b1}) / 2)", f"sin((radians({lon2}) - radians({lon1})) / 2)"
-    h = f"least({s1} * {s1} + cos({b1}) * cos({b2}) * {s2} * {s2}, 1.0::DOUBLE)"
-    angle = f"(2 * asin(sqrt({h})))"
-    mid, half = f"(({b1} + {b2}) / 2)", f"(({b2} - {b1}) / 2)"
-    x = f"({angle} - sin({angle})) * power(sin({mid}) * cos({half}), 2) / (1 - {h})"
-    y = f"({angle} + sin({angle})) * power(cos({mid}) * sin({half}), 2) / {h}"
-    full = f"{EQUATOR_M!r}::DOUBLE * ({angle} - {FLATTENING / 2!r}::DOUBLE * ({x} + {y}))"
-    return f"CASE WHEN {h} = 0 THEN 0.0::DOUBLE WHEN {h} = 1 THEN {EQUATOR_M!r}::DOUBLE * {angle} ELSE {full} END"
+    """The ellipsoidal distance as select items, of which ``metres`` is the last."""
+    return f"""{FLATTENING!r}::DOUBLE AS f_, (atan((1 - f_) * tan(radians({lat1}))) + atan((1 - f_) * tan(radians({lat2})))) / 2 AS mid_,
+        (atan((1 - f_) * tan(radians({lat2}))) - atan((1 - f_) * tan(radians({lat1})))) / 2 AS half_,
+        (radians({lon2}) - radians({lon1})) / 2 AS across_,
+        sin(half_) ** 2 + (cos(mid_) ** 2 - sin(half_) ** 2) * sin(across_) ** 2 AS h_, 2 * asin(sqrt(least(greatest(h_, 0), 1))) AS arc_,
+        arc_ / nullif(sin(arc_), 0) AS t_, 2 * (sin(mid_) * cos(half_)) ** 2 / nullif(1 - h_, 0) AS u_,
+        2 * (sin(half_) * cos(mid_)) ** 2 / nullif(h_, 0) AS v_, u_ + v_ AS x_, u_ - v_ AS y_, 4 * t_ ** 2 AS d_, 2 * cos(arc_) AS e_,
+        f_ * (t_ * x_ - y_) / 4 AS first_,
+        f_ ** 2 / 64 * (x_ * (d_ * e_ + (t_ - (d_ * e_ - e_) / 2) * x_) - y_ * (2 * d_ + e_ * y_) + d_ * x_ * y_) AS second_,
+        CASE WHEN h_ <= 0 THEN 0 ELSE {EQUATOR_M!r}::DOUBLE * sin(arc_) * (t_ - first_ + second_) END AS metres"""
 
 
 def _four(c: str) -> str:
@@ -124,7 +123,7 @@ VIEWS = {
         FROM hourly h LEFT JOIN sites s ON h.device_id = s.device_id""",
     "nearest": f"""SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (
             PARTITION BY "Date", SchoolLatitude, SchoolLongitude ORDER BY round(metres, 4), code) AS place
-        FROM (SELECT p.*, o.code, {sql_distance("p.SchoolLatitude", "p.SchoolLongitude", "o.latitude", "o.longitude")} AS metres
+        FROM (SELECT p.*, o.code, {sql_distance("p.SchoolLatitude", "p.SchoolLongitude", "o.latitude", "o.longitude")}
             FROM (SELECT DISTINCT "Date", SchoolLatitude, SchoolLongitude FROM hourly_sites WHERE SchoolLatitude IS NOT NULL) p
             JOIN (SELECT DISTINCT "Date", code, latitude, longitude FROM outdoor_located) o ON p."Date" = o."Date"))
         WHERE place = 1""",

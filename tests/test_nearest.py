@@ -88,7 +88,7 @@ def test_distance_accuracy(spark):
     rows = [(rnd.uniform(50, 59), rnd.uniform(-7, 1.5), rnd.uniform(50, 59), rnd.uniform(-7, 1.5)) for _ in range(300)]
     df = with_distance_m(spark.createDataFrame(rows, "a double, b double, c double, d double"), "m", "a", "b", "c", "d")
     for r in df.collect():
-        assert r.m == pytest.approx(vincenty(r.a, r.b, r.c, r.d), abs=1.5)
+        assert r.m == pytest.approx(vincenty(r.a, r.b, r.c, r.d), abs=0.005)
     same = with_distance_m(spark.createDataFrame([(1.0, 2.0, 1.0, 2.0), (0.0, 0.0, 0.0, 180.0)], "a double, b double, c double, d double"), "m", "a", "b", "c", "d")
     assert [r.m for r in same.collect()] == [0.0, pytest.approx(math.pi * 6378137.0)]
 
