@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # WGS84 equatorial radius in metres and flattening; mean radius.
@@ -22,46 +22,42 @@ def with_distance_m(
     points give 0; for antipodes, where the corrections have no limit, the
     uncorrected great circle stands.
 
-    The steps are columns of their own, since each is used several times:
-    Spark then computes it once per row.
+    The steps are aliases that refer to one another within one select, since
+    each is used several times: Spark then computes it once per row. ``$``
+    stands for a prefix that keeps them apart from the columns of ``df``.
     """
     if method not in ("ellipsoid", "haversine"):
         raise ValueError(f"unknown distance method {method!r}")
-
-    def c(x: str) -> Column:
-        return F.col(f"_{name}_{x}")
-
-    def add(frame: DataFrame, **values: Column) -> DataFrame:
-        return frame.withColumns({f"_{name}_{k}": v for k, v in values.items()})
-
-    def latitude(column: str) -> Column:
-        geodetic = F.radians(F.col(column))
-        return F.atan((1 - FLATTENING) * F.tan(geodetic)) if method == "ellipsoid" else geodetic
-
-    def square(x: Column) -> Column:
-        return x * x
-
-    out = add(df, b1=latitude(from_lat), b2=latitude(to_lat))
-    out = add(
-        out, sm=F.sin((c("b1") + c("b2")) / 2), sd=F.sin((c("b2") - c("b1")) / 2),
-        sl=F.sin((F.radians(F.col(to_lon)) - F.radians(F.col(from_lon))) / 2))
-    out = add(out, h=F.least(F.greatest(
-        square(c("sd")) + (1 - square(c("sm")) - square(c("sd"))) * square(c("sl")), F.lit(0.0)), F.lit(1.0)))
-    out = add(out, arc=2 * F.asin(F.sqrt(c("h"))))
-    if method == "haversine":
-        metres = MEAN_RADIUS_M * c("arc")
-    else:
-        # Without a guard these would divide by zero at h = 0 and h = 1.
-        inner = (c("h") > 0) & (c("h") < 1)
-        out = add(
-            out, sin=F.when(inner, 2 * F.sqrt(c("h") * (1 - c("h")))), cos=1 - 2 * c("h"),
-            u=F.when(inner, 2 * square(c("sm")) * (1 - square(c("sd"))) / (1 - c("h"))),
-            v=F.when(inner, 2 * square(c("sd")) * (1 - square(c("sm"))) / c("h")))
-        out = add(out, t=F.when(inner, c("arc") / c("sin")), x=c("u") + c("v"), y=c("u") - c("v"))
-        t, x, y, e = c("t"), c("x"), c("y"), 2 * c("cos")
-        d = 4 * t * t
-        first = (t * x - y) * (FLATTENING / 4)
-        second = (x * (d * e + (t - (d * e - e) / 2) * x) - y * (2 * d + e * y) + d * x * y) * (FLATTENING**2 / 64)
-        metres = F.coalesce(EQUATOR_M * c("sin") * (t - first + second), EQUATOR_M * c("arc"))
-    temporary = [x for x in out.columns if x.startswith(f"_{name}_")]
-    return out.withColumn(name, metres).drop(*temporary)
+    flat = f"cast({FLATTENING!r} as double)"
+
+    def latitude(column: str) -> str:
+        return f"atan((1 - {flat}) * tan(radians({column})))" if method == "ellipsoid" else f"radians({column})"
+
+    steps = {
+        "$b1": latitude(from_lat),
+        "$b2": latitude(to_lat),
+        "$mid": "pow(sin(($b1 + $b2) / 2), 2)",
+        "$half": "pow(sin(($b2 - $b1) / 2), 2)",
+        "$h": f"least(greatest($half + (1 - $mid - $half) * pow(sin((radians({to_lon}) - radians({from_lon})) / 2), 2), 0D), 1D)",
+        "$arc": "2 * asin(sqrt($h))",
+    }
+    metres = f"{MEAN_RADIUS_M!r}D * $arc"
+    if method == "ellipsoid":
+        # The corrections are missing at h = 0 and h = 1, where they would divide by zero.
+        steps |= {
+            "$sin": "nullif(2 * sqrt($h * (1 - $h)), 0D)",
+            "$t": "$arc / $sin",
+            "$u": "2 * $mid * (1 - $half) / nullif(1 - $h, 0D)",
+            "$v": "2 * $half * (1 - $mid) / nullif($h, 0D)",
+            "$x": "$u + $v",
+            "$y": "$u - $v",
+            "$e": "2 - 4 * $h",
+            "$d": "4 * $t * $t",
+            "$first": f"($t * $x - $y) * ({flat} / 4)",
+            "$second": f"($x * ($d * $e + ($t - ($d * $e - $e) / 2) * $x) - $y * (2 * $d + $e * $y) + $d * $x * $y) * ({flat} * {flat} / 64)",
+        }
+        metres = f"coalesce({EQUATOR_M!r}D * $sin * ($t - $first + $second), {EQUATOR_M!r}D * $arc)"
+    own = f"_{name}_"
+    steps["$metres"] = metres
+    chain = df.select("*", *[F.expr(text.replace("$", own)).alias(step.replace("$", own)) for step, text in steps.items()])
+    return chain.select(*df.columns, F.col(f"{own}metres").alias(name))

@@ -20,8 +20,8 @@ from airq.operators.align import union_aligned
 from airq.sources.staging import stage
 
 # Cell sizes in degrees; each divides 360, so cells close around the globe.
-CELL_DEGREES = (0.0625, 0.25, 1.0, 5.0, 20.0)
-STATIONS_PER_CELL = 8
+CELL_DEGREES = (0.0625, 0.125, 0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0)
+STATIONS_PER_CELL = 16
 
 # Lower bounds for an exact search on the ellipsoid: metres per degree of
 # latitude and polar radius, reduced by one per cent.
@@ -86,7 +86,7 @@ def nearest_reporting(sites: DataFrame, stations: DataFrame) -> DataFrame:
     wanted = located(sites).select("Date", "lat", "lon").distinct().join(days, "Date", "left_semi")
 
     done = []
-    for degrees in CELL_DEGREES[_first_size(active):]:
+    for degrees in CELL_DEGREES[_first_size(active)::2]:
         around = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
         near = active.select(
             "Date", "_code", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"),
