@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from airq.functions.aggregates import n_rows
 from airq.functions.geo import with_distance_m
@@ -23,6 +24,9 @@ from airq.sources.staging import stage
 CELL_DEGREES = (0.0625, 0.125, 0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0)
 STATIONS_PER_CELL = 16
 
+# Room for the numbers of the stations of one day.
+NUMBERS = 1 << 25
+
 # Lower bounds for an exact search on the ellipsoid: metres per degree of
 # latitude and polar radius, reduced by one per cent.
 _M_PER_DEGREE = 0.99 * 110_574.0
@@ -60,11 +64,19 @@ def _first_size(stations: DataFrame) -> int:
 
 
 def _best(pairs: DataFrame) -> DataFrame:
-    # Compared to a tenth of a millimetre: equal distances tie despite rounding errors.
+    """Smallest distance per site-day with the number of its station, in one whole number.
+
+    A tenth of a millimetre is the unit: equal distances tie despite rounding
+    errors, and the smaller station number wins. One number keeps the minimum
+    in Spark's hash aggregation; a struct would have every pair sorted.
+    """
     measured = with_distance_m(pairs, "metres", "lat", "lon", "_lat", "_lon")
-    candidate = F.struct(F.round("metres", 4).alias("_rank"), F.col("_code").alias("code"), "metres")
-    best = F.min(F.when(F.col("_code").isNotNull(), candidate)).alias("best")
-    return measured.groupBy("Date", "lat", "lon").agg(best)
+    packed = F.round(F.col("metres") * 10_000).cast("bigint") * NUMBERS + F.col("_n")
+    return measured.groupBy("Date", "lat", "lon").agg(F.min(packed).alias("best"))
+
+
+def _metres(best: str = "best") -> Column:
+    return F.shiftright(F.col(best), 25) / 10_000
 
 
 def nearest_reporting(sites: DataFrame, stations: DataFrame) -> DataFrame:
@@ -81,7 +93,9 @@ def nearest_reporting(sites: DataFrame, stations: DataFrame) -> DataFrame:
 
     # Stations at one point are the same candidate; the smallest code stands for them.
     active = located(stations).groupBy("Date", "lat", "lon").agg(F.min("code").alias("code"))
-    active = stage(active.select("Date", F.col("code").alias("_code"), F.col("lat"), F.col("lon")), "station-days")
+    # A day has at most one row per station, so numbering the rows of a day is a small window.
+    number = F.row_number().over(W.partitionBy("Date").orderBy("code")).cast("bigint")
+    active = stage(active.select("Date", "code", "lat", "lon", number.alias("_n")), "station-days")
     days = active.select("Date").distinct()
     wanted = located(sites).select("Date", "lat", "lon").distinct().join(days, "Date", "left_semi")
 
@@ -89,24 +103,25 @@ def nearest_reporting(sites: DataFrame, stations: DataFrame) -> DataFrame:
     for degrees in CELL_DEGREES[_first_size(active)::2]:
         around = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
         near = active.select(
-            "Date", "_code", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"),
+            "Date", "_n", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"),
             _cell("lat", degrees).alias("_y"), _cell("lon", degrees).alias("_x"),
         ).withColumn("_dy", F.explode(around)).withColumn("_dx", F.explode(around)).select(
-            "Date", "_code", "_lat", "_lon",
+            "Date", "_n", "_lat", "_lon",
             (F.col("_y") + F.col("_dy")).alias("_y"),
             F.pmod(F.col("_x") + F.col("_dx"), _columns(degrees)).alias("_x"),
         )
         placed = wanted.withColumns({"_y": _cell("lat", degrees), "_x": F.pmod(_cell("lon", degrees), _columns(degrees))})
         found = stage(_best(placed.join(near, ["Date", "_y", "_x"], "left")), "nearest")
-        final = F.coalesce(F.col("best.metres") < _safe_radius(degrees), F.lit(False))
+        final = F.coalesce(_metres() < _safe_radius(degrees), F.lit(False))
         done.append(found.where(final))
         wanted = found.where(~final).select("Date", "lat", "lon")
         if wanted.isEmpty():
             break
     else:
-        everywhere = active.select("Date", "_code", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+        everywhere = active.select("Date", "_n", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
         done.append(_best(wanted.join(everywhere, "Date")))
-    return union_aligned(*done).select("Date", "lat", "lon", "best.code", "best.metres")
+    nearest = union_aligned(*done).withColumns({"_n": F.col("best") % NUMBERS, "metres": _metres()})
+    return nearest.join(active.select("Date", "_n", "code"), ["Date", "_n"]).select("Date", "lat", "lon", "code", "metres")
 
 
 def closest_station_each_day(indoor: DataFrame, outdoor: DataFrame) -> DataFrame:

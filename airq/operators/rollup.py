@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airq.functions.air import MEASURES
+from airq.functions.text import date_device
 from airq.functions.times import floor_hour
 from airq.operators.groups import MAX_GROUP_ROWS, group_quantiles
 from airq.operators.quality import DAY
@@ -29,11 +30,16 @@ def window_means(long: DataFrame, every: str = "1 minute", fields: Sequence[str]
 
 
 def hourly_means(df: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
-    """Mean per hour and device; day columns are constant within the group."""
-    day = [c for c in ("DateDevice", "Date") if c in df.columns]
-    return df.groupBy(floor_hour("DateTime").alias("DateTime"), "device_id").agg(
-        *[F.avg(m).alias(m) for m in measures], *[F.first(c).alias(c) for c in day]
-    )
+    """Mean per hour and device, with the day columns the input has.
+
+    The day is constant within the group. Its text form is made again from the
+    result: a text among the aggregates would have all readings sorted.
+    """
+    day = [F.first("Date").alias("Date")] if "Date" in df.columns else []
+    hours = df.groupBy(floor_hour("DateTime").alias("DateTime"), "device_id").agg(*[F.avg(m).alias(m) for m in measures], *day)
+    if "DateDevice" not in df.columns:
+        return hours
+    return hours.select("DateTime", "device_id", *measures, date_device().alias("DateDevice"), "Date")
 
 
 def four_statistics(

@@ -25,7 +25,9 @@ def site_pairs(in_out: DataFrame, station: str = "site") -> DataFrame:
         F.col("longitude").alias("station_lon"), F.col("latitude").alias("station_lat"),
         F.col("km_distance_to_station").alias("distance_km"), "DateTime",
     )
-    first = first_per_key(row, ["SchoolId_short", "station"], [F.col("DateTime")]).drop("DateTime")
+    # Readings shrink to distinct pairings by hashing; only those few are ranked.
+    pairings = row.groupBy(*[c for c in row.columns if c != "DateTime"]).agg(F.min("DateTime").alias("DateTime"))
+    first = first_per_key(pairings, ["SchoolId_short", "station"], [F.col("DateTime")]).drop("DateTime")
     return first.where(F.col("school_lat").isNotNull() & F.col("station_lat").isNotNull())
 
 

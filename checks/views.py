@@ -121,7 +121,7 @@ VIEWS = {
         avg(atmp) AS atmp, any_value("Date") AS "Date" FROM readings GROUP BY 1, 2""",
     "hourly_sites": """SELECT h.*, s.SchoolId_short, s.SchoolLatitude, s.SchoolLongitude
         FROM hourly h LEFT JOIN sites s ON h.device_id = s.device_id""",
-    "nearest": f"""SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (
+    "nearest": f"""SELECT * EXCLUDE (place) REPLACE (round(metres, 4) AS metres) FROM (SELECT *, row_number() OVER (
             PARTITION BY "Date", SchoolLatitude, SchoolLongitude ORDER BY round(metres, 4), code) AS place
         FROM (SELECT p.*, o.code, {sql_distance("p.SchoolLatitude", "p.SchoolLongitude", "o.latitude", "o.longitude")}
             FROM (SELECT DISTINCT "Date", SchoolLatitude, SchoolLongitude FROM hourly_sites WHERE SchoolLatitude IS NOT NULL) p
