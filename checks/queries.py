@@ -362,9 +362,9 @@ for _name, _kind, _where in (
         f"SELECT * FROM readings WHERE device_id IN (SELECT device_id FROM sites {_where})")
 
 
-# Orders are requests, customers are schools, two in three of them have a monitor.
-_DIMENSION = """WITH monitors AS (SELECT c_custkey AS SchoolId_short, 'M' || CAST(c_custkey AS VARCHAR) AS MonitorReferenceId
-        FROM customer WHERE c_nationkey % 3 <> 0),
+# Orders are requests, customers are schools; those in debt wait for their monitor.
+_DIMENSION = """WITH monitors AS (SELECT c_custkey AS SchoolId_short,
+        CASE WHEN c_acctbal >= 0 THEN 'M' || CAST(c_custkey AS VARCHAR) END AS MonitorReferenceId FROM customer),
     dimension AS (SELECT o.o_orderkey AS request, CAST(o.o_custkey AS VARCHAR) AS SchoolId_long, o.o_orderdate AS asked,
         c.c_custkey AS SchoolId_short, m.MonitorReferenceId
         FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN monitors m ON m.SchoolId_short = c.c_custkey
@@ -374,8 +374,9 @@ _DIMENSION = """WITH monitors AS (SELECT c_custkey AS SchoolId_short, 'M' || CAS
 def _dimension(t: Tables):
     requests = t.table("orders").select(
         F.col("o_orderkey").alias("request"), F.col("o_custkey").cast("string").alias("SchoolId_long"), F.col("o_orderdate").alias("asked"))
-    owned = t.table("customer").where(F.col("c_nationkey") % 3 != 0).select(
-        F.col("c_custkey").alias("SchoolId_short"), F.concat(F.lit("M"), F.col("c_custkey").cast("string")).alias("MonitorReferenceId"))
+    name = F.concat(F.lit("M"), F.col("c_custkey").cast("string"))
+    owned = t.table("customer").select(
+        F.col("c_custkey").alias("SchoolId_short"), F.when(F.col("c_acctbal") >= 0, name).alias("MonitorReferenceId"))
     return L.monitor_dimension(requests, _schools(t), owned)
 
 
@@ -653,18 +654,18 @@ def postcode_clean(t: Tables):
     return coded.withColumn("area", postcode_area("formatted"))
 
 
-# Codes of suppliers' nations are live, some have no position; a part of all codes is retired.
+# Codes that do not end in X are live, those in BB without a position; codes from F on are (also) retired.
 _POSITIONS = """, known AS (SELECT formatted AS pc, min(c_custkey) AS k FROM coded WHERE formatted IS NOT NULL GROUP BY 1),
-    live AS (SELECT pc, CASE WHEN k % 5 <> 0 THEN 50 + k / 1000.0::DOUBLE END AS lat, -k / 1000.0::DOUBLE AS lon FROM known WHERE k % 3 <> 0),
-    retired AS (SELECT pc, 60 + k / 1000.0::DOUBLE AS lat, k / 1000.0::DOUBLE AS lon FROM known WHERE k % 2 = 0) """
+    live AS (SELECT pc, CASE WHEN pc NOT LIKE '%BB' THEN 50 + k / 1000.0::DOUBLE END AS lat, -k / 1000.0::DOUBLE AS lon FROM known WHERE pc NOT LIKE '%X'),
+    retired AS (SELECT pc, 60 + k / 1000.0::DOUBLE AS lat, k / 1000.0::DOUBLE AS lon FROM known WHERE pc >= 'F') """
 
 
 def _postcode_tables(coded: DataFrame):
     known = coded.where(F.col("formatted").isNotNull()).groupBy(F.col("formatted").alias("pc_clean")).agg(F.min("c_custkey").alias("k"))
     k = F.col("k")
-    live = known.where(k % 3 != 0).select(
-        "pc_clean", F.when(k % 5 != 0, 50 + k / 1000.0).alias("latitude"), (-k / 1000.0).alias("longitude"))
-    retired = known.where(k % 2 == 0).select("pc_clean", (60 + k / 1000.0).alias("latitude"), (k / 1000.0).alias("longitude"))
+    live = known.where(~F.col("pc_clean").like("%X")).select(
+        "pc_clean", F.when(~F.col("pc_clean").like("%BB"), 50 + k / 1000.0).alias("latitude"), (-k / 1000.0).alias("longitude"))
+    retired = known.where(F.col("pc_clean") >= "F").select("pc_clean", (60 + k / 1000.0).alias("latitude"), (k / 1000.0).alias("longitude"))
     return live, retired
 
 
@@ -683,9 +684,9 @@ def geocode_fallback(t: Tables):
     "school_characteristics",
     "c_custkey:i pcode_region:s Country:s LSOA:s LocalAuthority:s RUC:s EducationPhase:s EPCBand:s FloorArea:f FractionalOccupancy:f "
     "valid:b SchoolLatitude:f",
-    _POSTCODES + _POSITIONS + f""", areas AS (SELECT pc_area AS area, CASE WHEN n % 3 = 0 THEN 'Scotland' WHEN n % 3 = 1 THEN 'England' ELSE 'Channel Islands' END AS "Country"
-            FROM (SELECT CASE WHEN regexp_matches(substr(pc, 2, 1), '^[0-9]+$') THEN substr(pc, 1, 1) ELSE substr(pc, 1, 2) END AS pc_area,
-                min(length(pc)) + min(k) % 7 AS n FROM known GROUP BY 1) WHERE n % 5 <> 4),
+    _POSTCODES + _POSITIONS + """, areas AS (SELECT *, CASE WHEN area < 'B' THEN 'Scotland' WHEN area < 'F' THEN 'England'
+            WHEN area < 'H' THEN 'Channel Islands' WHEN area < 'M' THEN 'Northern Ireland' ELSE 'Elsewhere' END AS "Country"
+            FROM (SELECT DISTINCT CASE WHEN regexp_matches(substr(pc, 2, 1), '^[0-9]+$') THEN substr(pc, 1, 1) ELSE substr(pc, 1, 2) END AS area FROM known)),
         base AS (SELECT c.*, CASE WHEN regexp_matches(substr(formatted, 2, 1), '^[0-9]+$') THEN substr(formatted, 1, 1) ELSE substr(formatted, 1, 2) END AS pcode_region,
             cu.c_nationkey FROM coded c JOIN customer cu USING (c_custkey)),
         certs AS (SELECT formatted AS pc, CASE WHEN count(DISTINCT m) < 2 THEN max(m) END AS "EPCBand",
@@ -693,12 +694,12 @@ def geocode_fallback(t: Tables):
             (SELECT formatted, c_mktsegment AS m, CAST(c_nationkey AS DOUBLE) AS f FROM coded JOIN customer USING (c_custkey) WHERE formatted IS NOT NULL) GROUP BY 1)
     SELECT b.c_custkey, b.pcode_region, a."Country", 'L' || CAST(kn.k % 25 AS VARCHAR) AS "LSOA", na.n_name AS "LocalAuthority",
         CASE a."Country" WHEN 'England' THEN 'E ' || na.n_name WHEN 'Scotland' THEN CASE na.n_regionkey WHEN 1 THEN 'Urban Scotland' WHEN 2 THEN 'Rural Scotland' END
-            ELSE 'Rural' END AS "RUC",
-        CASE a."Country" WHEN 'England' THEN 'phase ' || reg.n_name WHEN 'Scotland' THEN 'stage ' || reg.n_name END AS "EducationPhase",
+            WHEN 'Channel Islands' THEN 'Rural' END AS "RUC",
+        CASE a."Country" WHEN 'Northern Ireland' THEN 'level ' || reg.n_name WHEN 'England' THEN 'phase ' || reg.n_name WHEN 'Scotland' THEN 'stage ' || reg.n_name END AS "EducationPhase",
         ce."EPCBand", ce."FloorArea",
         CASE a."Country" WHEN 'England' THEN reg.n_nationkey / nullif(CAST(reg.n_regionkey AS DOUBLE), 0) END AS "FractionalOccupancy",
         l.pc IS NOT NULL AS valid, coalesce(l.lat, r.lat) AS SchoolLatitude
-    FROM base b JOIN areas a ON a.area = b.pcode_region LEFT JOIN known kn ON kn.pc = b.formatted
+    FROM base b JOIN areas a ON a.area = b.pcode_region AND a."Country" <> 'Elsewhere' LEFT JOIN known kn ON kn.pc = b.formatted
         LEFT JOIN nation na ON na.n_nationkey = kn.k % 25 LEFT JOIN nation reg ON reg.n_nationkey = b.c_nationkey
         LEFT JOIN certs ce ON ce.pc = b.formatted LEFT JOIN live l ON l.pc = b.formatted LEFT JOIN retired r ON r.pc = b.formatted""",
 )
@@ -709,9 +710,10 @@ def school_characteristics(t: Tables):
         "c_custkey", F.col("formatted").alias("SchoolAddressPostCode"), F.col("c_nationkey").alias("EstablishmentId"))
     live, retired = _postcode_tables(coded)
     known = coded.where(F.col("formatted").isNotNull()).groupBy("formatted").agg(F.min("c_custkey").alias("k"))
-    n = F.min(F.length("formatted")) + F.min("k") % 7
-    areas = known.groupBy(postcode_area("formatted").alias("area")).agg(n.alias("n")).where(F.col("n") % 5 != 4)
-    country = F.when(F.col("n") % 3 == 0, "Scotland").when(F.col("n") % 3 == 1, "England").otherwise("Channel Islands")
+    area = F.col("area")
+    areas = known.select(postcode_area("formatted").alias("area")).distinct()
+    country = F.when(area < "B", "Scotland").when(area < "F", "England").when(area < "H", "Channel Islands").when(
+        area < "M", "Northern Ireland").otherwise("Elsewhere")
     number = (F.col("k") % 25).cast("string")
     nation = t.table("nation")
     area_code = F.concat(F.lit("O"), F.col("n_nationkey").cast("string")).alias("OutputArea")
@@ -724,7 +726,8 @@ def school_characteristics(t: Tables):
 
     certificates = monitors.join(customers, "c_custkey").where(F.col("SchoolAddressPostCode").isNotNull()).select(
         F.col("SchoolAddressPostCode").alias("POSTCODE"), F.col("c_mktsegment").alias("EPCBand"),
-        nothing.alias("MainHeatingFuel"), F.col("c_nationkey").cast("double").alias("FloorArea"), nothing.alias("BuildingEnvironment"), "c_custkey")
+        nothing.alias("MainHeatingFuel"), F.col("c_nationkey").cast("double").alias("FloorArea"), nothing.alias("BuildingEnvironment"))
+    southern = F.col("FloorArea") < 12
     return schools.school_characteristics(monitors, {
         "areas": areas.select("area", country.alias("Country")),
         "postcodes": known.select(
@@ -738,8 +741,8 @@ def school_characteristics(t: Tables):
         "register_england_wales": register("phase ", F.col("n_regionkey").alias("SchoolCapacity"), F.col("n_nationkey").alias("NumberOfPupils")),
         "register_scotland": register("stage "),
         "register_northern_ireland": register("level "),
-        "certificates": certificates.where(F.col("c_custkey") % 2 == 0).drop("c_custkey"),
-        "certificates_scotland": certificates.where(F.col("c_custkey") % 2 == 1).drop("c_custkey"),
+        "certificates": certificates.where(southern),
+        "certificates_scotland": certificates.where(~southern),
         "live_postcodes": live, "retired_postcodes": retired,
     })
 
