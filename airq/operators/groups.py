@@ -8,9 +8,6 @@ are put together again exactly.
 
 Operators whose input is known to be bounded (one row per device and minute
 gives at most 1440 rows per device-day) pass ``bounded=True`` and skip the check.
-Otherwise the check counts ``bound_by``, by default the input itself; a caller
-whose input is the costly remainder of a larger table passes that table, whose
-groups are at least as large and cheap to count.
 """
 
 from __future__ import annotations
@@ -38,11 +35,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def split_large(
-    df: DataFrame, keys: Sequence[str], max_rows: int, bound_by: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame | None, int]:
-    """Rows of ordinary groups, rows of large groups (or None), bound on their number."""
-    sizes = (df if bound_by is None else bound_by).groupBy(*keys).agg(n_rows().alias("_n"))
+def split_large(df: DataFrame, keys: Sequence[str], max_rows: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """Rows of ordinary groups, rows of large groups (or None), number of the latter."""
+    sizes = df.groupBy(*keys).agg(n_rows().alias("_n"))
     largest = sizes.agg(F.max("_n")).first()[0] or 0
     if largest <= max_rows:
         return df, None, 0
@@ -82,7 +77,6 @@ def with_row_windows(
     after: int,
     max_rows: int = MAX_GROUP_ROWS,
     bounded: bool = False,
-    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``before``/``after`` rows away.
 
@@ -99,7 +93,7 @@ def with_row_windows(
 
     if bounded:
         return compute(df, keys, order)
-    usual, large, total = split_large(df, keys, max_rows, bound_by)
+    usual, large, total = split_large(df, keys, max_rows)
     result = compute(usual, keys, order)
     if large is None:
         return result

@@ -8,7 +8,7 @@ Readings have a device and a time: rows without either belong to no day.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 
 from airq.functions.aggregates import any_true, missing_ratio, n_rows, strict, strict_where
 from airq.functions.times import hour_between
-from airq.operators.groups import with_row_windows
+from airq.operators.groups import MAX_GROUP_ROWS, split_large, with_row_windows
 
 DAY = ("Date", "device_id")
 
@@ -135,7 +135,7 @@ def keep_gradient_days(
     """
     if not bounded:
         return keep_days(df, gradient_days(df, threshold, first_hour, last_hour, tz, **window))
-    graded = with_co2_gradient(df, bounded=True, **{k: v for k, v in window.items() if k != "bound_by"})
+    graded = with_co2_gradient(df, bounded=True, **window)
     rises = hour_between("DateTime", first_hour, last_hour, tz) & (F.col("co2_gradient") > threshold)
     judged = graded.withColumn("_rising", any_true(rises, W.partitionBy(*DAY)))
     return judged.where("_rising").select(*df.columns)
@@ -164,14 +164,52 @@ def step_days(
     return days_where(stepped, any_true(inside & (F.col("_step") > threshold)))
 
 
-def clean_co2_minutes(df: DataFrame, rule: Occupancy = OCCUPIED_MINUTES, threshold: float = 100, tz: str = "UTC", **window) -> DataFrame:
-    """Occupied days that also show a CO2 gradient."""
-    kept = keep_where(df, occupied(rule, tz))
-    return keep_gradient_days(kept, threshold, rule.first_hour, rule.last_hour, tz, bound_by=df, **window)
+def by_size(df: DataFrame, keys: Sequence[str], clean: Callable[..., DataFrame], max_rows: int, bounded: bool = False) -> DataFrame:
+    """Apply ``clean(rows, bounded=...)`` to ordinary and to large groups apart.
 
+    The split comes before any join or shuffle, so the rows of a large group
+    never meet in one task on their way to the block-wise windows.
+    """
+    if bounded:
+        return clean(df, bounded=True)
+    usual, large, _ = split_large(df, keys, max_rows)
+    result = clean(usual, bounded=True)
+    return result if large is None else result.unionByName(clean(large, bounded=False, max_rows=max_rows))
+
+
+def clean_co2_minutes(
+    df: DataFrame,
+    rule: Occupancy = OCCUPIED_MINUTES,
+    threshold: float = 100,
+    tz: str = "UTC",
+    also: Sequence[Column] = (),
+    max_rows: int = MAX_GROUP_ROWS,
+    bounded: bool = False,
+    **window,
+) -> DataFrame:
+    """Occupied days that also show a CO2 gradient (and meet the rules of ``also``)."""
+
+    def clean(rows: DataFrame, **limits) -> DataFrame:
+        kept = keep_where(rows, *also, occupied(rule, tz))
+        return keep_gradient_days(kept, threshold, rule.first_hour, rule.last_hour, tz, **limits, **window)
+
+    return by_size(df, DAY, clean, max_rows, bounded)
 
-def clean_co2_quarters(df: DataFrame, rule: Occupancy = OCCUPIED_QUARTERS, threshold: float = 200, tz: str = "UTC", **window) -> DataFrame:
+
+def clean_co2_quarters(
+    df: DataFrame,
+    rule: Occupancy = OCCUPIED_QUARTERS,
+    threshold: float = 200,
+    tz: str = "UTC",
+    max_rows: int = MAX_GROUP_ROWS,
+    bounded: bool = False,
+    **window,
+) -> DataFrame:
     """The same for 15-minute series, with a step instead of a gradient."""
-    kept = keep_where(df, occupied(rule, tz))
-    steps = step_days(kept, threshold, first_hour=rule.first_hour, last_hour=rule.last_hour, tz=tz, bound_by=df, **window)
-    return keep_days(kept, steps)
+
+    def clean(rows: DataFrame, **limits) -> DataFrame:
+        kept = keep_where(rows, occupied(rule, tz))
+        return keep_days(kept, step_days(
+            kept, threshold, first_hour=rule.first_hour, last_hour=rule.last_hour, tz=tz, **limits, **window))
+
+    return by_size(df, ["device_id"], clean, max_rows, bounded)

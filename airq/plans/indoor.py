@@ -12,6 +12,7 @@ from airq.functions.text import date_device
 from airq.functions.times import local_date
 from airq.operators import quality as Q
 from airq.operators.calendars import school_days
+from airq.operators.groups import MAX_GROUP_ROWS
 from airq.operators.lookup import keep_devices
 
 
@@ -31,6 +32,8 @@ class CleaningRules:
     order: Sequence[str] = ("DateTime",)
     # One row per device and minute makes a day at most 1440 rows.
     one_row_per_minute: bool = True
+    # Otherwise days above this size are handled in blocks.
+    max_day_rows: int = MAX_GROUP_ROWS
 
 
 def with_day(df: DataFrame, tz: str = "UTC") -> DataFrame:
@@ -47,11 +50,10 @@ def indoor_minutes(series: DataFrame, devices: DataFrame | None = None, rules: C
     df = with_day(series, rules.tz)
     if devices is not None:
         df = keep_devices(df, devices)
-    judged = Q.keep_where(
-        df, Q.complete(rules.complete_day), Q.plausible(rules.extremes), Q.occupied(rules.occupancy, rules.tz))
-    return Q.keep_gradient_days(
-        judged, rules.gradient, rules.occupancy.first_hour, rules.occupancy.last_hour, rules.tz,
-        bounded=rules.one_row_per_minute, bound_by=df, k=rules.smooth_rows, reach=rules.reach_rows, order=rules.order,
+    return Q.clean_co2_minutes(
+        df, rules.occupancy, rules.gradient, rules.tz, also=(Q.complete(rules.complete_day), Q.plausible(rules.extremes)),
+        max_rows=rules.max_day_rows, bounded=rules.one_row_per_minute,
+        k=rules.smooth_rows, reach=rules.reach_rows, order=rules.order,
     )
 
 

@@ -97,3 +97,19 @@ def test_gradient_days_with_a_hot_day(spark):
         assert rows_of(direct, "device_id") == rows_of(blocks, "device_id")
     assert rows_of(Q.step_days(df, 200, order=("DateTime", "id")), "device_id") == rows_of(
         Q.step_days(df, 200, order=("DateTime", "id"), max_rows=150), "device_id")
+
+
+def test_cleaning_with_a_hot_device(spark):
+    """The whole minute and quarter-hour cleaning with most rows in one device-day."""
+    n = 3000
+    df = spark.range(n).select(
+        F.lit("2024-03-04").cast("date").alias("Date"),
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("d"), (F.col("id") % 30).cast("string"))).alias("device_id"),
+        (F.lit("2024-03-04 08:50:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id"))).alias("DateTime"),
+        "id", (400 + F.pmod(F.hash("id"), F.lit(300))).cast("double").alias("rco2"))
+    rule = Q.Occupancy(rows=10, mean_co2=480)
+    for clean in (Q.clean_co2_minutes, Q.clean_co2_quarters):
+        for threshold in (100, 170, 250, 290):
+            direct = clean(df, rule, threshold, order=("DateTime", "id"), bounded=True)
+            blocks = clean(df, rule, threshold, order=("DateTime", "id"), max_rows=120)
+            assert rows_of(direct, "id") == rows_of(blocks, "id")
