@@ -114,8 +114,10 @@ def temporal_profile(
     """Median of each series by weekday and hour, hour, weekday, and month.
 
     One pass: every row counts towards its four groups. With ``normalise`` the
-    medians are divided by the overall mean of their series.
+    medians are divided by the overall mean of their series. The input is small
+    (a row per hour) but may be costly to make, so it is staged.
     """
+    df = stage(df.select(time, *series), "profile")
     none = F.lit(None).cast("int")
     weekday, hour, month = F.dayofweek(time), F.hour(time), F.month(time)
 

@@ -109,6 +109,9 @@ def run_months(
     next one starts, so its last day is complete.
     """
 
+    # Cleaned once for all months; ordered by day, a month reads only its part.
+    outdoor = stage(outdoor.sortWithinPartitions("Date"), "outdoor")
+
     def make(month: date) -> dict[str, DataFrame]:
         stop = date(month.year + month.month // 12, month.month % 12 + 1, 1)
         outside = outdoor.where((F.col("Date") >= F.lit(month)) & (F.col("Date") < F.lit(stop)))

@@ -12,6 +12,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airq.sources.staging import staged_within
+
 MARKERS = "finished_months"
 
 
@@ -43,17 +45,21 @@ def finished_months(spark: SparkSession, root: str) -> list[date]:
 def write_months(
     spark: SparkSession, root: str, months: Iterable[date], make: Callable[[date], Mapping[str, DataFrame]]
 ) -> list[date]:
-    """Compute and write the months that are not finished; returns those."""
+    """Compute and write the months that are not finished; returns those.
+
+    Tables that ``make`` stages are removed once the month is written.
+    """
     finished = set(finished_months(spark, root))
     written = []
     for month in months:
         if month in finished:
             continue
-        tables = make(month)
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{root}/{name}/{_part(month)}")
-        marker = spark.range(1).select(F.lit(len(tables)).alias("tables"))
-        marker.write.mode("overwrite").parquet(f"{root}/{MARKERS}/{_part(month)}")
+        with staged_within(spark):
+            tables = make(month)
+            for name, df in tables.items():
+                df.write.mode("overwrite").parquet(f"{root}/{name}/{_part(month)}")
+            marker = spark.range(1).select(F.lit(len(tables)).alias("tables"))
+            marker.write.mode("overwrite").parquet(f"{root}/{MARKERS}/{_part(month)}")
         written.append(month)
     return written
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,15 +44,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_staged(spark: SparkSession) -> int:
-    """Remove the tables this process has staged, once their results are written."""
+def release_staged(spark: SparkSession, keep: int = 0) -> int:
+    """Remove the tables this process has staged, but for the first ``keep``."""
     removed = 0
-    while _staged:
+    while len(_staged) > keep:
         target = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
         removed += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
     return removed
 
 
+@contextmanager
+def staged_within(spark: SparkSession):
+    """Remove the tables staged inside the block when it ends."""
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        release_staged(spark, before)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast hint for a staged or stored table whose row count was checked.
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from airq.functions.air import MEASURES
 from airq.plans import reports
 from airq.plans.indoor import indoor_minutes, school_hour_minutes, with_day
+from airq.sources import staging
 
 DAYS = 3
-KINDS = {0: "good", 1: "short", 2: "flat", 3: "extreme", 4: "hole", 5: "weekend"}
 
 
 @pytest.fixture(scope="module")
@@ -123,9 +123,11 @@ def test_monthly_run_keeps_the_last_day(spark, dense, tmp_path):
     outdoor = spark.createDataFrame([(dt.date(2024, 3, 1), dt.datetime(2024, 3, 1), "A", 51.0, -1.0, 1.0)], "Date date, DateTime timestamp_ntz, code string, latitude double, longitude double, pm2_5 double")
     shifted = dense.withColumn("DateTime", F.col("DateTime") + F.expr("interval 28 days"))
     moved = lambda a, b: shifted.where((F.col("DateTime") >= F.lit(str(a)).cast("timestamp_ntz")) & (F.col("DateTime") < F.lit(str(b)).cast("timestamp_ntz")))
-    root = str(tmp_path / "months")
+    root, before = str(tmp_path / "months"), len(staging._staged)
     assert reports.run_months(spark, root, [dt.date(2024, 3, 1)], moved, outdoor, dims) == [dt.date(2024, 3, 1)]
     assert reports.run_months(spark, root, [dt.date(2024, 3, 1)], moved, outdoor, dims) == []
+    # Of the staged tables only the outdoor data of the two runs are left.
+    assert all("/outdoor-" in path for path in staging._staged[before:])
     back = reports.load_months(spark, root, ["indoor_daily_24"])["indoor_daily_24"]
     assert back.agg(F.max("Date")).first()[0] == dt.date(2024, 3, 31)
     assert series_of(dt.date(2024, 3, 1), dt.date(2024, 4, 1)).count() == dense.count()
