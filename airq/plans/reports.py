@@ -17,8 +17,8 @@ from airq.operators.rollup import (
 )
 from airq.operators.ventilation import by_ventilation, ventilation
 from airq.plans.indoor import CleaningRules, indoor_minutes, school_hour_minutes
-from airq.sources.outputs import read_months, write_months
-from airq.sources.staging import stage
+from airq.sources.outputs import finished_months, read_months, write_months
+from airq.sources.staging import stage, staged_within
 
 
 @dataclass(frozen=True)
@@ -109,15 +109,19 @@ def run_months(
     next one starts, so its last day is complete.
     """
 
-    # Cleaned once for all months; ordered by day, a month reads only its part.
-    outdoor = stage(outdoor.sortWithinPartitions("Date"), "outdoor")
-
     def make(month: date) -> dict[str, DataFrame]:
         stop = date(month.year + month.month // 12, month.month % 12 + 1, 1)
-        outside = outdoor.where((F.col("Date") >= F.lit(month)) & (F.col("Date") < F.lit(stop)))
+        outside = cleaned.where((F.col("Date") >= F.lit(month)) & (F.col("Date") < F.lit(stop)))
         return month_tables(series_of(month, stop), outside, dims, rules)
 
-    return write_months(spark, root, months, make)
+    finished = set(finished_months(spark, root))
+    open_months = [m for m in months if m not in finished]
+    if not open_months:
+        return []
+    with staged_within(spark):
+        # Made once for all months; ordered by day, a month reads only its part.
+        cleaned = stage(outdoor.sortWithinPartitions("Date"), "outdoor")
+        return write_months(spark, root, open_months, make)
 
 
 def load_months(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
