@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from airq.llm import bpe, language, linededup, neardup, packing, secrets, toxicity
+from airq.llm import bpe, language, linededup, nearest, neardup, orderhash, packing, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_packing": packing.query,
+    "op2_orderhash": orderhash.query,
     "op3_secrets": secrets.query,
     "op4_toxicity": toxicity.query,
     "op5_neardup": neardup.query,
+    "op6_nearest": nearest.query,
     "op7_language": language.query,
+    "op8_sharding": sharding.query,
     "op9_linededup": linededup.query,
     "op10_bpe": bpe.query,
     "pipeline": corpus_pipeline.run,
