@@ -11,8 +11,10 @@ concentrated around its mean.
 Texts with the same set are one class. Classes that agree in a band are
 compared with one class of the band's bucket, on their full sets, so a bucket
 of any size gives as many pairs as it has members. After the links found so
-far are joined into components, buckets that still hold several are compared
-in full across the components, leaving out pairs whose sizes forbid a link.
+far are joined into components, members outside the largest component of their
+bucket are compared with a few others of it, spread over the buckets. What is
+still apart then is compared in full across components, so no link is left
+out; pairs whose sizes forbid a link are.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airq.llm.common import WordHashes, chunks, fresh, mix
@@ -32,6 +34,8 @@ from airq.sources.staging import stage
 
 BANDS, ROWS = 32, 5
 PERCENT = 80
+#: Members of a bucket's largest component that those outside are compared with before all are.
+HUBS = 8
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -87,16 +91,8 @@ def sketched(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     return rows_in.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, class long, bands array<long>")
 
 
-def similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b) of classes those whose full sets have ``percent`` of similarity or more."""
-    rep = classes.select("class", "doc_id", "text_hash")
-    texts = docs.select(F.col("doc_id").cast("long").alias("t_id"), F.xxhash64("text").alias("t_hash"), "text")
-
-    def with_text(df: DataFrame, side: str) -> DataFrame:
-        df = df.join(rep.select(F.col("class").alias(side), F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash")), side)
-        # One row of documents stands for the class; a null id is found by its text.
-        on = (F.col("t_hash") == F.col("r_hash")) & F.col("t_id").eqNullSafe(F.col("r_id"))
-        return df.join(texts.withColumnRenamed("text", f"text_{side}"), on).drop("t_id", "t_hash", "r_id", "r_hash")
+def similar(pairs: DataFrame, pool: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of the pairs (a, b) of classes those whose full sets have ``percent`` of similarity or more; ``pool`` has a text per class."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, recent = WordHashes(), OrderedDict()
@@ -117,7 +113,8 @@ def similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, p
                 good.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    joined = with_text(with_text(pairs, "b"), "a")
+    text = {side: pool.select(F.col("class").alias(side), F.col("text").alias(f"text_{side}")) for side in ("a", "b")}
+    joined = pairs.join(text["b"], "b").join(text["a"], "a")
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long").distinct()
 
 
@@ -139,6 +136,14 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
+def hubs(inside: DataFrame, largest: DataFrame) -> DataFrame:
+    """Up to ``HUBS`` members of each bucket's largest component, others in each bucket: the smallest hash in each part."""
+    main = inside.join(largest, "bucket").where("label = main")
+    spread = F.xxhash64("class", "bucket")
+    one = main.groupBy("bucket", F.pmod(spread, F.lit(HUBS)).alias("part")).agg(F.min(F.struct(spread.alias("s"), "class", "n_shingles", "label")).alias("m"))
+    return one.select("bucket", "m.class", "m.n_shingles", "m.label")
+
+
 def groups(docs: DataFrame, words: int = 5, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash, n_shingles, class, component_id.
 
@@ -162,22 +167,34 @@ def groups(docs: DataFrame, words: int = 5, percent: int = PERCENT, bands: int =
     shared = stage(
         member.groupBy("bucket").agg(F.min("class").alias("hub"), F.max("class").alias("other")).where("hub <> other").select("bucket", "hub"), "buckets")
     inside = stage(member.join(shared, "bucket"), "inside")
-    pairs = inside.where("class <> hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
-    links = stage(similar(pairs, classes, docs, words, percent), "links")
+    # One text for each class that shares a bucket; of rows that repeat, any will do.
+    rep = classes.join(inside.select("class").distinct(), "class", "left_semi").select("class", F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("t_id"), F.xxhash64("text").alias("t_hash"), "text")
+    pool = rep.join(texts, (F.col("t_hash") == F.col("r_hash")) & F.col("t_id").eqNullSafe(F.col("r_id"))).select("class", "text")
+    pool = stage(pool.dropDuplicates(["class"]), "pool")
+
+    # First every member with the bucket's smallest class.
+    tried = stage(inside.where("class <> hub").select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct(), "pairs")
+    links = stage(similar(tried, pool, words, percent), "links")
+    inside = inside.select("bucket", "class", "n_shingles")
+    for last in (False, True):
+        # Then members outside the bucket's largest component, with some of its members; last, all pairs across components that are left.
+        labels = components(links)
+        told = inside.join(labels, inside["class"] == labels["node"], "left").select("bucket", "class", "n_shingles", F.coalesce("label", "class").alias("label"))
+        several = told.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
+        inside = stage(told.join(several, "bucket"), "open")
+        part = inside.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+        largest = part.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m")).select("bucket", F.col("m.label").alias("main"))
+        few = inside.join(largest, "bucket").where("label <> main").select("bucket", F.col("class").alias("x"), F.col("n_shingles").alias("nx"), F.col("label").alias("lx"))
+        partners = inside if last else hubs(inside, largest)
+        fits = (F.least("nx", "n_shingles") * 100 >= percent * F.greatest("nx", "n_shingles")) & (F.col("lx") != F.col("label"))
+        across = few.join(partners, "bucket").where(fits).select(F.least("x", "class").alias("a"), F.greatest("x", "class").alias("b")).distinct()
+        across = stage(across.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionAll(across)
+        links = stage(links.unionAll(similar(across, pool, words, percent)), "links")
+        inside = inside.select("bucket", "class", "n_shingles")
     labels = components(links)
 
-    told = inside.join(labels, inside["class"] == labels["node"], "left").select("bucket", "class", "n_shingles", F.coalesce("label", "class").alias("label"))
-    several = told.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-    open_ = stage(told.join(several, "bucket"), "open")
-    # All pairs across components but those within the largest one, which has most members of the bucket.
-    part = open_.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    largest = part.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m")).select("bucket", F.col("m.label").alias("main"))
-    few = open_.join(largest, "bucket").where("label <> main").select("bucket", F.col("class").alias("x"), F.col("n_shingles").alias("nx"), F.col("label").alias("lx"))
-    fits = (F.least("nx", "n_shingles") * 100 >= percent * F.greatest("nx", "n_shingles")) & (F.col("lx") != F.col("label"))
-    across = few.join(open_, "bucket").where(fits).select(F.least("x", "class").alias("a"), F.greatest("x", "class").alias("b")).distinct()
-    more = similar(across.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), classes, docs, words, percent)
-    labels = stage(components(stage(links.unionAll(more), "links")), "components")
-
     home = classes.join(labels, classes["class"] == labels["node"], "left").select("class", F.coalesce("label", "class").alias("label"), "doc_id")
     first = home.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     home = home.join(first, "label").select(F.col("class").alias("c"), "component_id")
