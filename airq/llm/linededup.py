@@ -12,7 +12,6 @@ directions, and a run of ``least_words`` words or more is deleted.
 
 from __future__ import annotations
 
-import re
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airq.llm.common import WordHashes, chunks, mix
+from airq.llm.common import CHUNK_CHARS, chunks, mix
 from airq.sources.staging import stage
 
 GRAM, WINDOW, LONGEST = 6, 10, 3
@@ -30,55 +29,105 @@ LEAST_WORDS = 50
 LAST = (1 << 63) - 1
 
 
-def word_hashes(text: str, known: WordHashes) -> np.ndarray:
-    return known.of(text.split())
-
-
-def fingerprints(hashes: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of a text's word hashes, and the word at which each begins.
+#: Bytes hashed at once; bounds a worker's memory.
+SEGMENT = 4_000_000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words between spaces and the control characters 9 to 13: hashes, first bytes, ends."""
+    found, at = [], 0
+    while at < len(raw):
+        end = len(raw)
+        if end - at > SEGMENT:
+            cut = max(raw.rfind(b" ", at, at + SEGMENT), raw.rfind(b"\n", at, at + SEGMENT))
+            end = cut + 1 if cut >= at else min((i for i in (raw.find(b" ", at), raw.find(b"\n", at)) if i >= 0), default=end - 1) + 1
+        buffer = np.frombuffer(raw, np.uint8, end - at, at)
+        space = (buffer == 32) | ((buffer >= 9) & (buffer <= 13))
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
+        starts, ends = edge[::2], edge[1::2]
+        if len(starts):
+            # A word's hash: the sum of its bytes, each mixed with its place in the word.
+            first = np.zeros(len(buffer), np.int64)
+            first[starts] = np.diff(starts, prepend=0)
+            place = (np.arange(len(buffer)) - np.cumsum(first) + 1).astype(np.uint64)
+            value = np.where(space, np.uint64(0), mix(buffer + place * _STEP))
+            found.append((mix(np.add.reduceat(value, starts)), starts + at, ends + at))
+        at = end
+    if not found:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def fingerprints(hashes: np.ndarray, sizes: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints of texts whose word hashes stand one after the other: text, value, word at which each begins.
 
     A text of fewer than ``gram`` lines has none, one of fewer than ``window`` hashes has its smallest.
     """
-    ends = np.flatnonzero(hashes & np.uint64(1)) + 1
-    if not len(ends) or ends[-1] != len(hashes):
-        ends = np.append(ends, len(hashes))
+    none = np.empty(0, np.int64)
+    if not len(hashes):
+        return none, np.empty(0, np.uint64), none
+    text_ends = np.cumsum(sizes)
+    last = (hashes & np.uint64(1)) == 1
+    last[text_ends[sizes > 0] - 1] = True
+    ends = np.flatnonzero(last) + 1
     starts = np.concatenate(([0], ends[:-1]))
-    if (ends - starts).max(initial=0) > LONGEST:
+    if (ends - starts).max() > LONGEST:
         pieces = -((starts - ends) // LONGEST)
         starts = np.repeat(starts, pieces) + LONGEST * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
         ends = np.append(starts[1:], len(hashes))
-    if len(starts) < gram:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    owner = np.searchsorted(text_ends, starts, "right")
     # A line's hash: the sum of its words' hashes, each mixed with its place in the line.
     place = np.arange(len(hashes)) - np.repeat(starts, ends - starts)
-    line = mix(np.add.reduceat(mix(hashes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), starts))
+    line = mix(np.add.reduceat(mix(hashes + place.astype(np.uint64) * _STEP), starts))
     n = len(line) - gram + 1
+    if n <= 0:
+        return none, np.empty(0, np.uint64), none
     value = np.zeros(n, np.uint64)
     for j in range(gram):
-        value = mix(value * np.uint64(0x9E3779B97F4A7C15) + line[j : j + n])
-    if n <= window:
-        at = np.array([int(np.argmin(value))])
-    else:
+        value = mix(value * _STEP + line[j : j + n])
+    whole = owner[:n] == owner[gram - 1 :]
+    value, of, at = value[whole], owner[:n][whole], starts[:n][whole]
+    if not len(value):
+        return none, np.empty(0, np.uint64), none
+    first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+    counts = np.diff(np.append(first, len(of)))
+    picked = []
+    if len(value) >= window:
         windows = np.lib.stride_tricks.sliding_window_view(value, window)
+        inside = of[: len(windows)] == of[window - 1 :]
         # The rightmost smallest of each window; neighbouring windows mostly share it.
-        at = np.unique(window - 1 - np.argmin(windows[:, ::-1], 1) + np.arange(len(windows)))
-    return value[at], starts[at]
+        picked.append((window - 1 - np.argmin(windows[:, ::-1], 1) + np.arange(len(windows)))[inside])
+    for i in np.flatnonzero(counts < window).tolist():
+        picked.append([first[i] + int(np.argmin(value[first[i] : first[i] + counts[i]]))])
+    picked = np.unique(np.concatenate(picked))
+    return of[picked], value[picked], at[picked]
+
+
+def prints_of(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Values and counts per text: its fingerprints in ascending order, twice if they have several places."""
+    raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+    hashes, starts, _ = hashed_words(b"\n".join(raw))
+    text_ends = np.cumsum([len(r) + 1 for r in raw])
+    sizes = np.bincount(np.searchsorted(text_ends, starts, "right"), minlength=len(raw))
+    of, value, _ = fingerprints(hashes, sizes)
+    value = value.view(np.int64)
+    order = np.lexsort((value, of))
+    of, value = of[order], value[order]
+    third = np.zeros(len(value), bool)
+    third[2:] = (of[2:] == of[:-2]) & (value[2:] == value[:-2])
+    return value[~third], np.bincount(of[~third], minlength=len(raw))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, text_hash and fingerprints, twice if they have several places, as a written table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
             texts = batch["text"].to_pylist()
             for a, b in chunks(texts):
-                found = []
-                for t in texts[a:b]:
-                    prints, n = np.unique(fingerprints(word_hashes(t or "", known))[0].view(np.int64), return_counts=True)
-                    found.append(np.repeat(prints, np.minimum(n, 2)))
-                sizes = np.concatenate(([0], np.cumsum([len(f) for f in found])))
-                values = np.concatenate(found) if found else np.empty(0, np.int64)
+                values, counts = prints_of(texts[a:b])
+                sizes = np.concatenate(([0], np.cumsum(counts)))
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"][a:b], batch["text_hash"][a:b], pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values, pa.int64()))],
                     ["doc_id", "text_hash", "prints"],
@@ -103,23 +152,38 @@ def extend(x: np.ndarray, y: np.ndarray, i: int, j: int) -> tuple[int, int]:
     return equal(x[:i][::-1], y[:j][::-1]), equal(x[i:], y[j:])
 
 
-def repeated(x: np.ndarray, y: np.ndarray, same: bool, wanted: set[int], least: int) -> list[tuple[int, int]]:
+class Words:
+    """A text's word hashes with their bytes, its fingerprints, and the first place of each."""
+
+    def __init__(self, text: str):
+        self.raw = text.encode("utf-8", "surrogatepass")
+        self.hashes, self.starts, self.ends = hashed_words(self.raw)
+        _, prints, places = fingerprints(self.hashes, np.array([len(self.hashes)]))
+        self.prints, self.places = prints.view(np.int64).tolist(), places.tolist()
+        self.first: dict[int, int] = {}
+        for p, i in zip(self.prints, self.places):
+            self.first.setdefault(p, i)
+
+    def points(self) -> np.ndarray:
+        """By byte, the number of code points before it."""
+        lead = (np.frombuffer(self.raw, np.uint8) & 0xC0) != 0x80
+        return np.concatenate(([0], np.cumsum(lead)))
+
+
+def repeated(x: Words, y: Words, wanted: set[int], least: int) -> list[tuple[int, int]]:
     """Runs (from, to) of words of x that stand in y, from the wanted fingerprints; within one text only after their first place."""
-    px, ix = fingerprints(x)
-    first: dict[int, int] = {}
-    for p, i in zip(*(a.tolist() for a in (fingerprints(y) if not same else (px, ix)))):
-        first.setdefault(p, i)
+    same = x is y
     reached: dict[int, int] = {}  # by distance between the two places, where the last run ended
     near = (GRAM + WINDOW) * LONGEST
     runs: list[tuple[int, int]] = []
-    for p, i in zip(px.tolist(), ix.tolist()):
-        if p not in wanted or p not in first or same and first[p] >= i:
+    for p, i in zip(x.prints, x.places):
+        j = y.first.get(p)
+        if j is None or p not in wanted or same and j >= i:
             continue
-        j = first[p]
         # What is known, or lies well inside a run, gives nothing new.
         if reached.get(i - j, -1) >= i or runs and runs[-1][0] <= i and i + near < runs[-1][1]:
             continue
-        before, after = extend(x, y, i, j)
+        before, after = extend(x.hashes, y.hashes, i, j)
         reached[i - j] = i + after
         if before + after >= least:
             a, b = i - before, i + after
@@ -140,37 +204,39 @@ def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     each = prints.select("doc_id", "text_hash", F.explode("prints").alias("print"))
     again = stage(each.groupBy("print").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1").select("print", "first_id"), "again")
     matched = each.join(again, "print").groupBy("doc_id", "text_hash", "first_id").agg(F.collect_set("print").alias("prints"))
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("t_id"), F.xxhash64("text").alias("t_hash"), "text")
-    mine = matched.join(texts, (F.col("doc_id") == F.col("t_id")) & (F.col("text_hash") == F.col("t_hash"))).drop("t_id", "t_hash")
-    source = texts.select(F.col("t_id").alias("s_id"), F.col("t_hash").alias("s_hash"), F.col("text").alias("s_text"))
-    pairs = mine.join(source, F.col("first_id") == F.col("s_id"))
+    # Both joins are on the id alone, the hash is compared besides: so they share one shuffle of the texts.
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("t_id"), F.xxhash64("text").alias("t_hash"), F.col("text").alias("t_text"))
+    mine = matched.join(texts, (F.col("doc_id") == F.col("t_id")) & (F.col("text_hash").bitwiseXOR(F.col("t_hash")) == 0)).drop("t_id", "t_hash")
+    source = texts.withColumnsRenamed({"t_id": "s_id", "t_hash": "s_hash", "t_text": "s_text"})
     # Of rows with one id, a text's own place and those of smaller hashes come before it.
-    pairs = pairs.where((F.col("s_id") < F.col("doc_id")) | (F.col("s_hash") <= F.col("text_hash")))
+    pairs = mine.join(source, (F.col("first_id") == F.col("s_id")) & ((F.col("s_id") < F.col("doc_id")) | (F.col("s_hash") <= F.col("text_hash"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, recent = WordHashes(), OrderedDict()
+        recent: OrderedDict[tuple[int, int], Words] = OrderedDict()
+        held = 0
 
-        def source_of(key, text):
+        def of(key: tuple[int, int], text: str) -> Words:
+            nonlocal held
             if key not in recent:
-                recent[key] = word_hashes(text, known)
-                while len(recent) > 200 or sum(map(len, recent.values())) > 2_000_000 and len(recent) > 1:
-                    recent.popitem(last=False)
+                recent[key] = Words(text)
+                held += len(recent[key].raw)
+                while held > CHUNK_CHARS and len(recent) > 2:
+                    held -= len(recent.popitem(last=False)[1].raw)
             recent.move_to_end(key)
             return recent[key]
 
         for batch in batches:
             out = []
-            for doc_id, text_hash, text, prints, s_id, s_hash, s_text in zip(*(batch[c].to_pylist() for c in ("doc_id", "text_hash", "text", "prints", "s_id", "s_hash", "s_text"))):
-                same = (doc_id, text_hash) == (s_id, s_hash)
-                x = word_hashes(text, known)
-                runs = repeated(x, x if same else source_of((s_id, s_hash), s_text), same, {p % (1 << 64) for p in prints}, least_words)
-                if runs:
-                    places = [m.span() for m in re.finditer(r"\S+", text)]
-                    out += [(doc_id, text_hash, places[a][0], places[b - 1][1], a, b) for a, b in runs]
+            for doc_id, text_hash, text, prints, s_id, s_hash, s_text in zip(*(batch[c].to_pylist() for c in ("doc_id", "text_hash", "t_text", "prints", "s_id", "s_hash", "s_text"))):
+                y = of((s_id, s_hash), s_text)
+                x = of((doc_id, text_hash), text)
+                if runs := repeated(x, y, set(prints), least_words):
+                    points = x.points()
+                    out += [(doc_id, text_hash, int(points[x.starts[a]]), int(points[x.ends[b - 1]]), a, b) for a, b in runs]
             names = ["doc_id", "text_hash", "start", "end", "a", "b"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 6, names)
 
-    found = pairs.select("doc_id", "text_hash", "text", "prints", "s_id", "s_hash", "s_text").mapInArrow(run, "doc_id long, text_hash long, start long, end long, a long, b long")
+    found = pairs.select("doc_id", "text_hash", "t_text", "prints", "s_id", "s_hash", "s_text").mapInArrow(run, "doc_id long, text_hash long, start long, end long, a long, b long")
     merged = """aggregate(array_sort(collect_set(struct(start, end, a, b))), CAST(array() AS array<struct<start:long,end:long,a:long,b:long>>), (acc, x) ->
       IF(size(acc) > 0 AND x.start <= element_at(acc, -1).end,
         concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'end', greatest(element_at(acc, -1).end, x.end), 'a', element_at(acc, -1).a, 'b', greatest(element_at(acc, -1).b, x.b)))),
@@ -194,7 +260,7 @@ def keep_new(docs: DataFrame, **options) -> DataFrame:
       named_struct('at', x.end, 'out', concat(acc.out, substring(text, CAST(acc.at AS INT) + 1, CAST(x.start - acc.at AS INT)))),
       acc -> concat(acc.out, substring(text, CAST(acc.at AS INT) + 1)))""")
     told = joined.select(row, "spans", F.when(F.col("spans").isNotNull(), left).otherwise(F.col("text")).alias("left"))
-    told = told.where(F.col("spans").isNull() | F.col("left").rlike(r"\S"))
+    told = told.where(F.col("spans").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
     kind = dict(docs.dtypes).get("n_chars", "long")
     new = {"text": F.col("left")}
     if "n_chars" in columns:
