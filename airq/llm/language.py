@@ -171,7 +171,7 @@ def predict(docs: DataFrame, model: LanguageFilter, text: str = "text") -> DataF
     return docs.withColumn(told, tell(F.col(text))).select(*[F.col(f"`{c}`") for c in kept], F.col(told)["lang_pred"].alias("lang_pred"), F.col(told)["score"].alias("score"))
 
 
-def keep_known(docs: DataFrame, least_score: float = 0.1, **options) -> DataFrame:
+def keep_known(docs: DataFrame, least_score: float = 0.02, **options) -> DataFrame:
     """Stage: learn from the labelled rows, keep the rows whose text is in a learned language.
 
     Rejected are null texts, texts without letters and texts of which less than

@@ -145,7 +145,7 @@ def hubs(inside: DataFrame, largest: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, words: int = 5, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Per row of ``docs``: doc_id, text_hash, n_shingles, class, component_id.
+    """Per row of ``docs``: doc_id, text_hash, n_shingles, class, label (of the component), component_id.
 
     Links hold where intersection and union of the shingle sets are at ``percent`` or more;
     each is confirmed on the sets. With the defaults, two sets at exactly 0.8 share no band
@@ -197,9 +197,9 @@ def groups(docs: DataFrame, words: int = 5, percent: int = PERCENT, bands: int =
 
     home = classes.join(labels, classes["class"] == labels["node"], "left").select("class", F.coalesce("label", "class").alias("label"), "doc_id")
     first = home.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    home = home.join(first, "label").select(F.col("class").alias("c"), "component_id")
+    home = home.join(first, "label").select(F.col("class").alias("c"), "label", "component_id")
     out = rows_.select("doc_id", "text_hash", "n_shingles", "class").join(home, F.col("class") == F.col("c"), "left")
-    return out.select("doc_id", "text_hash", "n_shingles", "class", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "text_hash", "n_shingles", "class", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
@@ -210,9 +210,8 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     """
     columns = docs.columns
     found = groups(docs, **options)
-    # The component's kept text: of its smallest id the smallest hash.
-    mine = found.where("class IS NOT NULL").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = mine.groupBy(F.col("component_id").alias("k_id")).agg(F.min("text_hash").alias("k_hash"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("r")
+    kept = found.where("class IS NOT NULL").groupBy("label").agg(least).select(F.col("r.doc_id").alias("k_id"), F.col("r.text_hash").alias("k_hash"))
     kept = kept.unionAll(found.where("class IS NULL").select("doc_id", "text_hash")).distinct()
     row, = fresh(docs, "row")
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias(row), F.col("doc_id").cast("long").alias("d_id"), F.xxhash64("text").alias("d_hash"),

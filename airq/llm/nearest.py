@@ -118,8 +118,8 @@ def valid(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.coalesce(fine, F.lit(False)))
 
 
-def listed(rows: DataFrame, lists: Lists, ratio: float, most: int, query: bool) -> DataFrame:
-    """Each row once for every list it is written to, or read from: those within ``ratio`` of the nearest, at most ``most``."""
+def listed(rows: DataFrame, lists: Lists, ratio: float, least: int, most: int, query: bool) -> DataFrame:
+    """Each row once for every list it is written to, or read from: those within ``ratio`` of the nearest, at least ``least`` and at most ``most``."""
     shared = rows.sparkSession.sparkContext.broadcast(lists)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,19 +130,22 @@ def listed(rows: DataFrame, lists: Lists, ratio: float, most: int, query: bool)
                 x = np.stack(part["v"].to_numpy(zero_copy_only=False))
                 ids, d = walk(index, np.concatenate((x, np.zeros((len(x), 1))), 1) if query else lengthened(x, index.longest))
                 take = d[:, :most] <= (1 + ratio) * d[:, :1] + 1e-12
+                take[:, :least] = True
+                take &= np.isfinite(d[:, :most])
                 row, col = np.nonzero(take)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[row, col], pa.int64()), part["vec_id"].take(row), part["v"].take(row)], ["list", "vec_id", "v"])
 
     return rows.select("vec_id", "v").mapInArrow(run, "list long, vec_id long, v array<double>")
 
 
-def search(vectors: DataFrame, chosen, k: int = NEAREST, sample: int = 20_000, write_ratio: float = 0.12, write_most: int = 6, read_ratio: float = 0.35, read_most: int = 64) -> DataFrame:
+def search(vectors: DataFrame, chosen, k: int = NEAREST, sample: int = 20_000, write_ratio: float = 0.12, write_most: int = 6, read_ratio: float = 0.35, read_least: int = 8, read_most: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score): of each valid vector for which ``chosen`` holds, the k nearest others found.
 
     The index is fit on about ``sample`` vectors chosen by hash and holds every valid vector. Equal vectors
     are searched once; of them the k + 1 smallest ids are all that can be among the k nearest. Rows that
     repeat an id with the same vector count once. Vectors of different lengths are compared with those of the most
-    frequent length only; the others take no part.
+    frequent length only; the others take no part. A query reads ``read_least`` lists or more, so that
+    one that lies on a centroid finds k too.
     """
     spark = vectors.sparkSession
     rows = valid(vectors)
@@ -157,14 +160,14 @@ def search(vectors: DataFrame, chosen, k: int = NEAREST, sample: int = 20_000, w
     few = rows.dropDuplicates(["vec_id", "k1", "k2"]).withColumn("r", F.row_number().over(W.partitionBy("k1", "k2", part).orderBy("vec_id"))).where(F.col("r") <= k + 1)
     few = stage(few.withColumn("r", F.row_number().over(W.partitionBy("k1", "k2").orderBy("vec_id"))).where(F.col("r") <= k + 1).select("vec_id", "v", "r"), "vectors")
     facts = few.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("longest")).first()
-    drawn = few.where(hash_share(sample, F.lit(facts["n"]), "vec_id")).select("v").toPandas()["v"]  # about ``sample`` vectors
+    drawn = few.where(hash_share(sample, F.lit(facts["n"]), "vec_id")).select("vec_id", "r", "v").toPandas().sort_values(["vec_id", "r"])["v"]  # about ``sample`` vectors
     drawn = np.stack(drawn.to_numpy()) if len(drawn) else np.stack(few.limit(1).toPandas()["v"].to_numpy())
     lists = build(drawn, facts["longest"])
 
-    posted = stage(listed(few, lists, write_ratio, write_most, False), "postings")
+    posted = stage(listed(few, lists, write_ratio, 1, write_most, False), "postings")
     asked = rows.where(chosen).groupBy("k1", "k2").agg(F.min("vec_id").alias("vec_id"))
     asking = rows.join(asked.select("vec_id", F.col("k1").alias("a1"), F.col("k2").alias("a2")), "vec_id").where((F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")))
-    asking = stage(listed(asking.dropDuplicates(["vec_id", "k1", "k2"]), lists, read_ratio, read_most, True), "questions")
+    asking = stage(listed(asking.dropDuplicates(["vec_id", "k1", "k2"]), lists, read_ratio, read_least, read_most, True), "questions")
     sizes = {c: {r["list"]: -(-r["n"] // BLOCK) for r in df.groupBy("list").agg(F.count("*").alias("n")).collect()} for c, df in (("v", posted), ("q", asking))}  # a row per list
 
     def blocks(mine: str, other: str, name: str):
