@@ -64,7 +64,8 @@ def nan_to_null(df: DataFrame, *names: str) -> DataFrame:
     """Replace NaN by NULL, in every floating-point column by default."""
     kinds = dict(df.dtypes)
     names = names or tuple(c for c, t in kinds.items() if t in ("double", "float"))
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(kinds[c])) for c in names})
+    found = {c: F.nanvl(F.col(c), F.lit(None).cast(kinds[c])) for c in names if kinds.get(c) in ("double", "float")}
+    return df.withColumns(found) if found else df
 
 
 def same(left: Column, right: Column) -> Column:

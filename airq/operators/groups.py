@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from airq.functions.aggregates import n_rows
-from airq.sources.staging import broadcast_if_small, stage
+from airq.sources.staging import stage
 
 MAX_GROUP_ROWS = 5_000_000
 
@@ -43,7 +43,7 @@ def split_large(df: DataFrame, keys: Sequence[str], max_rows: int) -> tuple[Data
         return df, None, 0
     large = stage(sizes.where(F.col("_n") > max_rows), "large-groups")
     total = large.agg(F.sum("_n")).first()[0]
-    large = broadcast_if_small(large.select(*keys))
+    large = large.select(*keys)
     return null_safe_join(df, large, keys, "left_anti"), null_safe_join(df, large, keys, "left_semi"), total
 
 

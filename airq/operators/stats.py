@@ -47,9 +47,16 @@ def distance_summary(pairs: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFr
     return out.select("n_schools", "mean_km", "median_km", "min_km", "max_km", label.alias("label"))
 
 
+def in_year(df: DataFrame, year: int, time: str = "DateTime") -> DataFrame:
+    """Rows of a calendar year as a half-open range, which reaches the scan."""
+    kind = dict(df.dtypes)[time]
+    first, stop = (F.lit(f"{y:04d}-01-01 00:00:00").cast(kind) for y in (year, year + 1))
+    return df.where((F.col(time) >= first) & (F.col(time) < stop))
+
+
 def annual_means(in_out: DataFrame, year: int, site: str = "SchoolId_short", indoor: str = "pm02", outdoor: str = "pm2_5") -> DataFrame:
     """Mean indoor and outdoor value per site in a year, where both exist."""
-    means = in_out.where(F.year("DateTime") == year).groupBy(site).agg(
+    means = in_year(in_out, year).groupBy(site).agg(
         F.avg(indoor).alias("indoor"), F.avg(outdoor).alias("outdoor"))
     return means.where(F.col("indoor").isNotNull() & F.col("outdoor").isNotNull())
 
@@ -62,7 +69,7 @@ def annual_ratio(in_out: DataFrame, year: int, **names) -> DataFrame:
 
 def seasonal_ratio(in_out: DataFrame, year: int, site: str = "SchoolId_short", indoor: str = "pm02", outdoor: str = "pm2_5") -> DataFrame:
     """Mean values and their ratio per site and season of a calendar year."""
-    means = in_out.where(F.year("DateTime") == year).groupBy(site, season("DateTime").alias("Season")).agg(
+    means = in_year(in_out, year).groupBy(site, season("DateTime").alias("Season")).agg(
         F.avg(indoor).alias("indoor"), F.avg(outdoor).alias("outdoor"))
     ratio = means.withColumn("IO_ratio", F.try_divide("indoor", "outdoor"))
     return ratio.where(is_finite("IO_ratio"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from airq.functions.air import MEASURES
 from airq.functions.text import date_device
 from airq.functions.times import local_date
+from airq.functions.aggregates import nan_to_null
 from airq.operators import quality as Q
 from airq.operators.calendars import school_days
 from airq.operators.groups import MAX_GROUP_ROWS
@@ -47,7 +48,7 @@ def indoor_minutes(series: DataFrame, devices: DataFrame | None = None, rules: C
     The first three rules judge whole days by aggregates and are decided
     together, so the minutes are filtered twice: by these and by the gradient.
     """
-    df = with_day(series, rules.tz)
+    df = with_day(nan_to_null(series), rules.tz)
     if devices is not None:
         df = keep_devices(df, devices)
     return Q.clean_co2_minutes(

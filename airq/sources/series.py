@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airq.functions.aggregates import not_in
+from airq.functions.aggregates import nan_to_null, not_in
 from airq.functions.air import MEASURES
 from airq.operators.rollup import window_means
 
@@ -32,8 +32,8 @@ def in_range(df: DataFrame, start, end, time: str = "ts", day: str | None = None
 def read_series(
     long: DataFrame, start, end, every: str = "1 minute", fields: Sequence[str] = MEASURES, **range_options
 ) -> DataFrame:
-    """Wide series of tumbling-window means in ``[start, end)``."""
-    return window_means(in_range(long, start, end, **range_options), every, fields)
+    """Wide series of tumbling-window means in ``[start, end)``; NaN readings are missing."""
+    return window_means(nan_to_null(in_range(long, start, end, **range_options)), every, fields)
 
 
 def background_stations(meta: DataFrame, excluded: Sequence = EXCLUDED_SITE_TYPES) -> DataFrame:
@@ -42,7 +42,7 @@ def background_stations(meta: DataFrame, excluded: Sequence = EXCLUDED_SITE_TYPE
 
 
 def station_readings(hourly: DataFrame, stations: DataFrame, years: Sequence[int] | None = None, time: str = "date") -> DataFrame:
-    """Readings of the given stations; whole years as time ranges, which reach the scan."""
+    """Readings of the given stations; whole years as time ranges, which reach the scan. NaN is missing."""
     if years is not None:
         kind = dict(hourly.dtypes)[time]
 
@@ -53,4 +53,4 @@ def station_readings(hourly: DataFrame, stations: DataFrame, years: Sequence[int
         hourly = hourly.where((F.col(time) >= moment(low)) & (F.col(time) < moment(high + 1)))
         if len(set(years)) < high - low + 1:
             hourly = hourly.where(F.year(time).isin(*years))
-    return hourly.join(stations.select("code"), "code", "left_semi")
+    return nan_to_null(hourly.join(stations.select("code"), "code", "left_semi"))

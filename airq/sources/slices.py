@@ -15,9 +15,9 @@ def time_slices(spark: SparkSession, start: str, end: str, step: str) -> DataFra
 
 
 def slices_of(df: DataFrame, step: str, time: str = "ts") -> DataFrame:
-    """Slices that cover all times of ``df``, from midnight of its first day."""
+    """Half-open slices that cover all times of ``df``, the last one too, from midnight of its first day."""
     span = df.agg(F.min(time).alias("low"), F.max(time).alias("high"))
     width = F.expr(f"interval {step}")
     low = F.to_date("low").cast("timestamp_ntz")
-    starts = span.select(F.explode(F.sequence(low, F.col("high").cast("timestamp_ntz"), width)).alias("slice_start"), "high")
-    return starts.select("slice_start", F.least(F.col("slice_start") + width, F.col("high").cast("timestamp_ntz")).alias("slice_end"))
+    starts = span.select(F.explode(F.sequence(low, F.col("high").cast("timestamp_ntz"), width)).alias("slice_start"))
+    return starts.select("slice_start", (F.col("slice_start") + width).alias("slice_end"))

@@ -7,27 +7,23 @@ own broadcast threshold decides about later joins.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 
+#: Tables staged outside any block; each block and thread of its own has its own list.
 _staged: list[str] = []
+_inside: ContextVar[list[str] | None] = ContextVar("staged_inside", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a local one only in local mode."""
+    """The session's checkpoint folder, which all executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="airq-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -40,32 +36,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    _staged.append(path)
+    inside = _inside.get()
+    (_staged if inside is None else inside).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_staged(spark: SparkSession, keep: int = 0) -> int:
-    """Remove the tables this process has staged, but for the first ``keep``."""
+def _remove(spark: SparkSession, paths: list[str]) -> int:
     removed = 0
-    while len(_staged) > keep:
-        target = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+    while paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         removed += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
     return removed
 
 
+def release_staged(spark: SparkSession) -> int:
+    """Remove the tables staged outside any ``staged_within`` block."""
+    return _remove(spark, _staged)
+
+
 @contextmanager
 def staged_within(spark: SparkSession):
-    """Remove the tables staged inside the block when it ends."""
-    before = len(_staged)
+    """Remove the tables staged inside the block, by this thread, when it ends."""
+    own: list[str] = []
+    token = _inside.set(own)
     try:
         yield
     finally:
-        release_staged(spark, before)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint for a staged or stored table whose row count was checked.
-
-    Larger tables come back without a hint and are joined by shuffling.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
+        _inside.reset(token)
+        _remove(spark, own)

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airq.functions.aggregates import nan_to_null
 from airq.operators.align import union_aligned
 
 
@@ -49,7 +50,7 @@ def read_csv(
 
     ``columns`` maps each new name to its name in the file and its type. The
     files of a folder must agree on their header; ``pattern`` and ``recursive``
-    choose among them. ``NA``, blanks and unreadable values are missing.
+    choose among them. ``NA``, ``NaN``, blanks and unreadable values are missing.
     """
     reader = spark.read.options(header=True, nullValue="NA", enforceSchema=False)
     if pattern:
@@ -62,7 +63,7 @@ def read_csv(
         text = df[f"`{_find_column(df.columns, name)}`"]
         return F.when(F.trim(text) != "", text).try_cast(kind)
 
-    return df.select(*[typed(name, kind).alias(new) for new, (name, kind) in columns.items()])
+    return nan_to_null(df.select(*[typed(name, kind).alias(new) for new, (name, kind) in columns.items()]))
 
 
 def read_stacked(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

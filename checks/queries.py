@@ -112,8 +112,8 @@ def range_scan_pivot(t: Tables):
     + ", ".join(
         f"s{i} AS (SELECT '{step}' AS step, unnest(generate_series(low, high, INTERVAL '{step}')) AS slice_start, "
         f"INTERVAL '{step}' AS width, high FROM span)" for i, step in enumerate(("10 minutes", "1 day", "1 month")))
-    + ", cut AS (SELECT step, slice_start, least(slice_start + width, high) AS slice_end FROM "
-    "(SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2) WHERE slice_start < high), "
+    + ", cut AS (SELECT step, slice_start, slice_start + width AS slice_end FROM "
+    "(SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2) WHERE slice_start <= high), "
     "held AS (SELECT '10 minutes' AS step, time_bucket(INTERVAL '10 minutes', ts) AS slice_start, count(*) AS n FROM events GROUP BY ALL "
     "UNION ALL SELECT '1 day', date_trunc('day', ts), count(*) FROM events GROUP BY ALL "
     "UNION ALL SELECT '1 month', date_trunc('month', ts), count(*) FROM events GROUP BY ALL) "
@@ -142,7 +142,7 @@ def time_slices(t: Tables):
 def cast_projection(t: Tables):
     columns = ["p_partkey", "p_size", "p_retailprice", "p_brand", "p_name"]
     df = tables.read_columns(t.spark, f"{t.folder}/part.parquet", columns, as_text=["p_size", "p_retailprice"])
-    return df.withColumns({"brand_no": to_int(F.substring("p_brand", 7, 9)), "name_no": to_int("p_name")})
+    return df.withColumns({"brand_no": to_int(F.expr("substring(p_brand, 7)")), "name_no": to_int("p_name")})
 
 
 @query(
