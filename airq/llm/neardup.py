@@ -9,12 +9,16 @@ with the probability of their similarity, and the number of agreements is
 concentrated around its mean.
 
 Texts with the same set are one class. Classes that agree in a band are
-compared with one class of the band's bucket, on their full sets, so a bucket
-of any size gives as many pairs as it has members. After the links found so
-far are joined into components, members outside the largest component of their
-bucket are compared with a few others of it, spread over the buckets. What is
-still apart then is compared in full across components, so no link is left
-out; pairs whose sizes forbid a link are.
+compared with the most central class of the band's bucket, the one with the
+most neighbours over all its buckets, on their full sets, so a bucket of any
+size gives as many pairs as it has members. After the links found so far are
+joined into components, members outside the largest component of their bucket
+are compared with a few others of it, spread over the buckets. The classes of
+buckets still apart then are compared across components by prefix: the
+shingles of each stand in one order, rare ones first, and two sets similar
+enough share one of their first shingles, early enough to leave room for the
+rest. Copies that differ from all others by enough shingles of their own
+thus meet nobody, and no link is left out.
 """
 
 from __future__ import annotations
@@ -136,12 +140,45 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
+def apart(inside: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that have several components, with their labels."""
+    told = inside.join(labels, inside["class"] == labels["node"], "left").select("bucket", "class", "n_shingles", "place", F.coalesce("label", "class").alias("label"))
+    several = told.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
+    return told.join(several, "bucket")
+
+
 def hubs(inside: DataFrame, largest: DataFrame) -> DataFrame:
     """Up to ``HUBS`` members of each bucket's largest component, others in each bucket: the smallest hash in each part."""
     main = inside.join(largest, "bucket").where("label = main")
     spread = F.xxhash64("class", "bucket")
-    one = main.groupBy("bucket", F.pmod(spread, F.lit(HUBS)).alias("part")).agg(F.min(F.struct(spread.alias("s"), "class", "n_shingles", "label")).alias("m"))
-    return one.select("bucket", "m.class", "m.n_shingles", "m.label")
+    one = main.groupBy("bucket", F.pmod(spread, F.lit(HUBS)).alias("part")).agg(F.min(F.struct(spread.alias("s"), "class", "n_shingles", "place", "label")).alias("m"))
+    return one.select("bucket", "m.class", "m.n_shingles", "m.place", "m.label")
+
+
+def prefixes(classes: DataFrame, pool: DataFrame, words: int, percent: int) -> DataFrame:
+    """(bucket, class, n_shingles, place): the first shingles of each of ``classes`` in one common order, rare ones first, and their places from 1.
+
+    Two sets with ``percent`` of similarity share one of them. Shingles that only one class
+    has take their places but are left out, as they match nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            texts = batch["text"].to_pylist()
+            for a, b in chunks(texts):
+                values, sizes = shingle_sets(texts[a:b], words, known)
+                ends = np.concatenate(([0], np.cumsum(sizes)))
+                yield pa.RecordBatch.from_arrays([batch["class"][a:b], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))], ["class", "shingles"])
+
+    sets = stage(pool.join(classes, "class", "left_semi").select("class", "text").mapInArrow(run, "class long, shingles array<long>"), "shingles")
+    each = sets.select("class", F.size("shingles").cast("long").alias("n_shingles"), F.explode("shingles").alias("bucket"))
+    common = each.groupBy("bucket").agg(F.count("*").alias("df")).where("df > 1")
+    ordered = each.join(common, "bucket").groupBy("class", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("df", "bucket"))).alias("s"))
+    own = F.col("n_shingles") - F.size("s")
+    length = F.col("n_shingles") - F.expr(f"({percent} * n_shingles + 99) div 100") + 1
+    first = ordered.select("class", "n_shingles", own.alias("own"), F.slice("s", F.lit(1), F.greatest(F.lit(0), length - own).cast("int")).alias("s"))
+    return first.select("class", "n_shingles", "own", F.posexplode("s").alias("at", "e")).select(F.col("e.bucket").alias("bucket"), "class", "n_shingles", (F.col("own") + F.col("at") + 1).alias("place"))
 
 
 def groups(docs: DataFrame, words: int = 5, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -165,34 +202,39 @@ def groups(docs: DataFrame, words: int = 5, percent: int = PERCENT, bands: int =
     member = stage(rep.select("class", "n_shingles", "bands"), "members")
     member = member.select("class", "n_shingles", F.posexplode("bands").alias("band", "h")).select("class", "n_shingles", F.xxhash64("band", "h").alias("bucket"))
     shared = stage(
-        member.groupBy("bucket").agg(F.min("class").alias("hub"), F.max("class").alias("other")).where("hub <> other").select("bucket", "hub"), "buckets")
+        member.groupBy("bucket").agg(F.count("*").alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket", "n"), "buckets")
     inside = stage(member.join(shared, "bucket"), "inside")
+    near = inside.groupBy("class").agg(F.sum("n").alias("near"))
+    central = inside.join(near, "class").groupBy("bucket").agg(F.max(F.struct("near", "class")).alias("m")).select("bucket", F.col("m.class").alias("hub"))
+    inside = stage(inside.join(central, "bucket").select("bucket", "class", "n_shingles", "hub"), "inside")
     # One text for each class that shares a bucket; of rows that repeat, any will do.
     rep = classes.join(inside.select("class").distinct(), "class", "left_semi").select("class", F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"))
     texts = docs.select(F.col("doc_id").cast("long").alias("t_id"), F.xxhash64("text").alias("t_hash"), "text")
     pool = rep.join(texts, (F.col("t_hash") == F.col("r_hash")) & F.col("t_id").eqNullSafe(F.col("r_id"))).select("class", "text")
     pool = stage(pool.dropDuplicates(["class"]), "pool")
 
-    # First every member with the bucket's smallest class.
+    # First every member with the bucket's most central class.
     tried = stage(inside.where("class <> hub").select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct(), "pairs")
     links = stage(similar(tried, pool, words, percent), "links")
-    inside = inside.select("bucket", "class", "n_shingles")
+    inside = inside.select("bucket", "class", "n_shingles", F.lit(1).cast("long").alias("place"))
     for last in (False, True):
-        # Then members outside the bucket's largest component, with some of its members; last, all pairs across components that are left.
+        # Then members outside the bucket's largest component, with some of its members; last, across components by prefix.
         labels = components(links)
-        told = inside.join(labels, inside["class"] == labels["node"], "left").select("bucket", "class", "n_shingles", F.coalesce("label", "class").alias("label"))
-        several = told.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-        inside = stage(told.join(several, "bucket"), "open")
+        if last:
+            inside = prefixes(apart(inside, labels).select("class").distinct(), pool, words, percent)
+        inside = stage(apart(inside, labels), "open")
         part = inside.groupBy("bucket", "label").agg(F.count("*").alias("n"))
         largest = part.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m")).select("bucket", F.col("m.label").alias("main"))
-        few = inside.join(largest, "bucket").where("label <> main").select("bucket", F.col("class").alias("x"), F.col("n_shingles").alias("nx"), F.col("label").alias("lx"))
+        few = inside.join(largest, "bucket").where("label <> main").select("bucket", F.col("class").alias("x"), F.col("n_shingles").alias("nx"), F.col("place").alias("px"), F.col("label").alias("lx"))
         partners = inside if last else hubs(inside, largest)
-        fits = (F.least("nx", "n_shingles") * 100 >= percent * F.greatest("nx", "n_shingles")) & (F.col("lx") != F.col("label"))
+        # What both can have in common from their places on.
+        room = F.least(F.col("nx") - F.col("px"), F.col("n_shingles") - F.col("place")) + 1
+        fits = (room * (100 + percent) >= percent * (F.col("nx") + F.col("n_shingles"))) & (F.col("lx") != F.col("label"))
         across = few.join(partners, "bucket").where(fits).select(F.least("x", "class").alias("a"), F.greatest("x", "class").alias("b")).distinct()
         across = stage(across.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionAll(across)
         links = stage(links.unionAll(similar(across, pool, words, percent)), "links")
-        inside = inside.select("bucket", "class", "n_shingles")
+        inside = inside.select("bucket", "class", "n_shingles", "place")
     labels = components(links)
 
     home = classes.join(labels, classes["class"] == labels["node"], "left").select("class", F.coalesce("label", "class").alias("label"), "doc_id")
