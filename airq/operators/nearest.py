@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from airq.functions.aggregates import n_rows
 from airq.functions.geo import with_distance_m
@@ -24,9 +23,6 @@ from airq.sources.staging import stage
 CELL_DEGREES = (0.0625, 0.125, 0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0)
 STATIONS_PER_CELL = 16
 
-# Room for the numbers of the stations of one day.
-NUMBERS = 1 << 25
-
 # Lower bounds for an exact search on the ellipsoid: metres per degree of
 # latitude and polar radius, reduced by one per cent.
 _M_PER_DEGREE = 0.99 * 110_574.0
@@ -64,19 +60,14 @@ def _first_size(stations: DataFrame) -> int:
 
 
 def _best(pairs: DataFrame) -> DataFrame:
-    """Smallest distance per site-day with the number of its station, in one whole number.
-
-    A tenth of a millimetre is the unit: equal distances tie despite rounding
-    errors, and the smaller station number wins. One number keeps the minimum
-    in Spark's hash aggregation; a struct would have every pair sorted.
-    """
+    """Nearest station per site-day, in whole tenths of a millimetre: so equal distances tie despite rounding errors, and the smaller code wins."""
     measured = with_distance_m(pairs, "metres", "lat", "lon", "_lat", "_lon")
-    packed = F.round(F.col("metres") * 10_000).cast("bigint") * NUMBERS + F.col("_n")
-    return measured.groupBy("Date", "lat", "lon").agg(F.min(packed).alias("best"))
+    found = F.when(F.col("code").isNotNull(), F.struct(F.round(F.col("metres") * 10_000).cast("bigint").alias("far"), "code"))
+    return measured.groupBy("Date", "lat", "lon").agg(F.min(found).alias("best"))
 
 
-def _metres(best: str = "best") -> Column:
-    return F.shiftright(F.col(best), 25) / 10_000
+def _metres() -> Column:
+    return F.col("best.far") / 10_000
 
 
 def nearest_reporting(sites: DataFrame, stations: DataFrame) -> DataFrame:
@@ -84,18 +75,16 @@ def nearest_reporting(sites: DataFrame, stations: DataFrame) -> DataFrame:
 
     ``sites`` has ``Date, lat, lon``, ``stations`` has ``Date, code, lat, lon``,
     one row per reporting day or more. Gives ``Date, lat, lon, code, metres``;
-    equal distances go to the smaller code. Days without stations and
-    positions with a missing coordinate have no row.
+    equal distances go to the smaller code, stations without a code count as
+    none. Days without stations and positions with a missing coordinate have no row.
     """
 
     def located(df):
         return df.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
 
     # Stations at one point are the same candidate; the smallest code stands for them.
-    active = located(stations).groupBy("Date", "lat", "lon").agg(F.min("code").alias("code"))
-    # A day has at most one row per station, so numbering the rows of a day is a small window.
-    number = F.row_number().over(W.partitionBy("Date").orderBy("code")).cast("bigint")
-    active = stage(active.select("Date", "code", "lat", "lon", number.alias("_n")), "station-days")
+    active = located(stations).where(F.col("code").isNotNull()).groupBy("Date", "lat", "lon").agg(F.min("code").alias("code"))
+    active = stage(active.select("Date", "code", "lat", "lon"), "station-days")
     days = active.select("Date").distinct()
     wanted = located(sites).select("Date", "lat", "lon").distinct().join(days, "Date", "left_semi")
 
@@ -103,10 +92,10 @@ def nearest_reporting(sites: DataFrame, stations: DataFrame) -> DataFrame:
     for degrees in CELL_DEGREES[_first_size(active)::2]:
         around = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
         near = active.select(
-            "Date", "_n", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"),
+            "Date", "code", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"),
             _cell("lat", degrees).alias("_y"), _cell("lon", degrees).alias("_x"),
         ).withColumn("_dy", F.explode(around)).withColumn("_dx", F.explode(around)).select(
-            "Date", "_n", "_lat", "_lon",
+            "Date", "code", "_lat", "_lon",
             (F.col("_y") + F.col("_dy")).alias("_y"),
             F.pmod(F.col("_x") + F.col("_dx"), _columns(degrees)).alias("_x"),
         )
@@ -118,10 +107,9 @@ def nearest_reporting(sites: DataFrame, stations: DataFrame) -> DataFrame:
         if wanted.isEmpty():
             break
     else:
-        everywhere = active.select("Date", "_n", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+        everywhere = active.select("Date", "code", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
         done.append(_best(wanted.join(everywhere, "Date")))
-    nearest = union_aligned(*done).withColumns({"_n": F.col("best") % NUMBERS, "metres": _metres()})
-    return nearest.join(active.select("Date", "_n", "code"), ["Date", "_n"]).select("Date", "lat", "lon", "code", "metres")
+    return union_aligned(*done).select("Date", "lat", "lon", F.col("best.code").alias("code"), _metres().alias("metres"))
 
 
 def closest_station_each_day(indoor: DataFrame, outdoor: DataFrame) -> DataFrame:

@@ -875,18 +875,23 @@ def ols_by_season(t: Tables):
     return S.linear_fit(t.table("lineitem").withColumn("Season", times.season("l_shipdate")), "l_quantity", "l_extendedprice", by=["Season"])
 
 
+def _number(c: str, digits: int) -> str:
+    """A rounded number as text without trailing zeros."""
+    return f"regexp_replace(CAST(round_even({c}, {digits}) AS VARCHAR), '[.]0$', '')"
+
+
 @query(
     "figure_labels", "figure:s label:s",
-    _PAIRS + f"""SELECT 'pairs' AS figure, 'n = ' || CAST(n AS VARCHAR) || chr(10) || 'Mean = ' || regexp_replace(CAST(round_even(a, 1) AS VARCHAR), '[.]0$', '') AS label
-        FROM (SELECT count(DISTINCT SchoolId_short) AS n, avg(distance_km) AS a FROM pairs)
-        UNION ALL SELECT 'fit', 'n = ' || CAST(n AS VARCHAR) || chr(10) || 'r = ' || regexp_replace(CAST(round_even(r, 2) AS VARCHAR), '[.]0$', '')
+    _PAIRS + f"""SELECT 'pairs' AS figure, 'n = ' || CAST(n AS VARCHAR) || chr(10) || 'Mean = ' || {_number("a", 1)} || ' km' || chr(10)
+            || 'Median = ' || {_number("m", 1)} || ' km' || chr(10) || 'Range = ' || {_number("lo", 1)} || '–' || {_number("hi", 0)} || ' km' AS label
+        FROM (SELECT count(DISTINCT SchoolId_short) AS n, avg(distance_km) AS a, quantile_cont(distance_km, 0.5) AS m, min(distance_km) AS lo, max(distance_km) AS hi FROM pairs)
+        UNION ALL SELECT 'fit', 'n = ' || CAST(n AS VARCHAR) || chr(10) || 'r = ' || {_number("r", 2)} || chr(10) || 'R² = ' || {_number("r2", 2)} || chr(10)
+            || 'Indoor = ' || {_number("intercept", 2)} || ' + ' || {_number("slope", 2)} || ' × Outdoor'
         FROM (SELECT {_FIT} FROM lineitem)""",
 )
 def figure_labels(t: Tables):
     pairs = S.distance_summary(S.site_pairs(_in_out(t))).select(F.lit("pairs").alias("figure"), "label")
-    fit = S.with_regression_label(ols(t)).select(F.lit("fit").alias("figure"), "label")
-    # The first two lines of each label.
-    return union_aligned(pairs, fit).withColumn("label", F.regexp_replace(F.substring_index("label", "\n", 2), " km$", ""))
+    return union_aligned(pairs, S.with_regression_label(ols(t)).select(F.lit("fit").alias("figure"), "label"))
 
 
 _PROFILES = {

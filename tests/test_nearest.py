@@ -105,3 +105,11 @@ def test_link_keeps_rows_once(spark):
     out = N.link_outdoor(indoor, outdoor)
     got = sorted(((r.device_id, r.DateTime.hour, r.closest_station, r.pm10, r.pm10_out, r.site) for r in out.collect()), key=str)
     assert got == [("x", 0, "A", 5.0, 1.5, "near"), ("x", 1, "A", 7.0, None, None), ("y", 0, "A", 6.0, 1.5, "near")]
+
+
+def test_any_station_code_wins_a_tie_by_its_order(spark):
+    """Equal distances go to the smaller code; codes are compared as they are, not by a number of their own."""
+    sites = spark.createDataFrame([(D[0], 52.0, 0.0)], "Date date, lat double, lon double")
+    stations = spark.createDataFrame(
+        [(D[0], "Z1", 52.0, 0.01), (D[0], "A9", 52.0, -0.01), (D[0], None, 52.0, 0.001)], "Date date, code string, lat double, lon double")
+    assert [r.code for r in N.nearest_reporting(sites, stations).collect()] == ["A9"]
