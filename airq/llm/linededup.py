@@ -1,18 +1,19 @@
-"""Repeated passages, found by winnowing over line hashes.
+"""Repeated passages, found by winnowing over line hashes and compared by their windows of words.
 
 A text is wrapped into short lines: a line ends after a word whose hash is odd,
 or else after three words, so a passage wraps alike wherever it stands, also
 when it begins in the middle of a line or a break stands elsewhere in it. Every ``GRAM`` lines in a row have one hash, and of
 every ``WINDOW`` such hashes in a row the smallest is a fingerprint. A passage of
 ``GRAM + WINDOW - 1`` whole lines that occurs twice therefore has a fingerprint
-in common in both places. Every later place is joined with the document where
-the fingerprint comes first; there the match is extended word by word in both
-directions, and a run of ``least_words`` words or more is deleted.
+in common in both places. So a window of ``least_words`` words cannot stand elsewhere
+if a fingerprint that all its copies must have is there only once. Of all other
+windows, in the texts with a repeated fingerprint, the first place in the corpus
+is found by hash; every later place is deleted. The places of a window are thus
+compared with each other whoever else holds a part of it.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airq.llm.common import CHUNK_CHARS, chunks, mix
+from airq.llm.common import chunks, mix
 from airq.sources.staging import stage
 
 GRAM, WINDOW, LONGEST = 6, 10, 3
@@ -59,15 +60,11 @@ def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def fingerprints(hashes: np.ndarray, sizes: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprints of texts whose word hashes stand one after the other: text, value, word at which each begins.
-
-    A text of fewer than ``gram`` lines has none, one of fewer than ``window`` hashes has its smallest.
-    """
-    none = np.empty(0, np.int64)
+def grams(hashes: np.ndarray, sizes: np.ndarray, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Values of ``gram`` lines in a row, of texts whose word hashes stand one after the other: value, text, first word, last line's first word, end."""
+    none, text_ends = np.empty(0, np.int64), np.cumsum(sizes)
     if not len(hashes):
-        return none, np.empty(0, np.uint64), none
-    text_ends = np.cumsum(sizes)
+        return np.empty(0, np.uint64), none, none, none, none
     last = (hashes & np.uint64(1)) == 1
     last[text_ends[sizes > 0] - 1] = True
     ends = np.flatnonzero(last) + 1
@@ -82,22 +79,35 @@ def fingerprints(hashes: np.ndarray, sizes: np.ndarray, gram: int = GRAM, window
     line = mix(np.add.reduceat(mix(hashes + place.astype(np.uint64) * _STEP), starts))
     n = len(line) - gram + 1
     if n <= 0:
-        return none, np.empty(0, np.uint64), none
+        return np.empty(0, np.uint64), none, none, none, none
     value = np.zeros(n, np.uint64)
     for j in range(gram):
         value = mix(value * _STEP + line[j : j + n])
     whole = owner[:n] == owner[gram - 1 :]
-    value, of, at = value[whole], owner[:n][whole], starts[:n][whole]
+    return value[whole], owner[:n][whole], starts[:n][whole], starts[gram - 1 :][whole], ends[gram - 1 :][whole]
+
+
+def winnowed(value: np.ndarray, of: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Each ``window`` values in a row of one text: the first one's number, and that of the rightmost smallest."""
+    if len(value) < window:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    windows = np.lib.stride_tricks.sliding_window_view(value, window)
+    at = np.flatnonzero(of[: len(windows)] == of[window - 1 :])
+    return at, (window - 1 - np.argmin(windows[:, ::-1], 1))[at] + at
+
+
+def fingerprints(hashes: np.ndarray, sizes: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints of texts whose word hashes stand one after the other: text, value, word at which each begins.
+
+    A text of fewer than ``gram`` lines has none, one of fewer than ``window`` hashes has its smallest.
+    """
+    value, of, at, _, _ = grams(hashes, sizes, gram)
     if not len(value):
-        return none, np.empty(0, np.uint64), none
+        return of, value, at
     first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
     counts = np.diff(np.append(first, len(of)))
-    picked = []
-    if len(value) >= window:
-        windows = np.lib.stride_tricks.sliding_window_view(value, window)
-        inside = of[: len(windows)] == of[window - 1 :]
-        # The rightmost smallest of each window; neighbouring windows mostly share it.
-        picked.append((window - 1 - np.argmin(windows[:, ::-1], 1) + np.arange(len(windows)))[inside])
+    # Neighbouring windows mostly share their smallest.
+    picked = [winnowed(value, of, window)[1]]
     for i in np.flatnonzero(counts < window).tolist():
         picked.append([first[i] + int(np.argmin(value[first[i] : first[i] + counts[i]]))])
     picked = np.unique(np.concatenate(picked))
@@ -137,60 +147,55 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return stage(keyed.mapInArrow(run, "doc_id long, text_hash long, prints array<long>").where(F.size("prints") > 0), "prints")
 
 
-def extend(x: np.ndarray, y: np.ndarray, i: int, j: int) -> tuple[int, int]:
-    """How many words before and from x[i], y[j] are equal."""
-
-    def equal(u: np.ndarray, v: np.ndarray) -> int:
-        n, done, step = min(len(u), len(v)), 0, 64
-        while done < n:
-            differ = np.flatnonzero(u[done : min(n, done + step)] != v[done : min(n, done + step)])
-            if len(differ):
-                return done + int(differ[0])
-            done, step = min(n, done + step), step * 4
-        return n
-
-    return equal(x[:i][::-1], y[:j][::-1]), equal(x[i:], y[j:])
-
-
-class Words:
-    """A text's word hashes with their bytes, its fingerprints, and the first place of each."""
-
-    def __init__(self, text: str):
-        self.raw = text.encode("utf-8", "surrogatepass")
-        self.hashes, self.starts, self.ends = hashed_words(self.raw)
-        _, prints, places = fingerprints(self.hashes, np.array([len(self.hashes)]))
-        self.prints, self.places = prints.view(np.int64).tolist(), places.tolist()
-        self.first: dict[int, int] = {}
-        for p, i in zip(self.prints, self.places):
-            self.first.setdefault(p, i)
-
-    def points(self) -> np.ndarray:
-        """By byte, the number of code points before it."""
-        lead = (np.frombuffer(self.raw, np.uint8) & 0xC0) != 0x80
-        return np.concatenate(([0], np.cumsum(lead)))
-
-
-def repeated(x: Words, y: Words, wanted: set[int], least: int) -> list[tuple[int, int]]:
-    """Runs (from, to) of words of x that stand in y, from the wanted fingerprints; within one text only after their first place."""
-    same = x is y
-    reached: dict[int, int] = {}  # by distance between the two places, where the last run ended
-    near = (GRAM + WINDOW) * LONGEST
-    runs: list[tuple[int, int]] = []
-    for p, i in zip(x.prints, x.places):
-        j = y.first.get(p)
-        if j is None or p not in wanted or same and j >= i:
-            continue
-        # What is known, or lies well inside a run, gives nothing new.
-        if reached.get(i - j, -1) >= i or runs and runs[-1][0] <= i and i + near < runs[-1][1]:
-            continue
-        before, after = extend(x.hashes, y.hashes, i, j)
-        reached[i - j] = i + after
-        if before + after >= least:
-            a, b = i - before, i + after
-            while runs and a <= runs[-1][1]:
-                a, b = min(a, runs[-1][0]), max(b, runs.pop()[1])
-            runs.append((a, b))
-    return runs
+def spanned(hashes: np.ndarray, n: int) -> np.ndarray:
+    """One hash for each ``n`` hashes in a row, put together from those of 1, 2, 4 and so on."""
+    many = len(hashes) - n + 1
+    value, done, part, size = np.zeros(many, np.uint64), 0, mix(hashes + _STEP), 1
+    while True:
+        if n & size:
+            value = mix(value * _STEP + part[done : done + many])
+            done += size
+        if done == n:
+            return value
+        part, size = mix(part[:-size] * _STEP + part[size:]), 2 * size
+
+
+def windows_of(texts: list, again: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Windows of ``least`` words that may stand elsewhere: text, number of the first word, hash, first code point, end.
+
+    ``again`` has the repeated fingerprints. A line that begins after an odd word of the window begins there in
+    every copy, and so do the lines after it; the fingerprint of such lines that end in the window is in
+    every copy too. If it is not repeated, nor is the window.
+    """
+    raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+    joined = b"\n".join(raw)
+    hashes, starts, ends = hashed_words(joined)
+    byte_ends = np.cumsum([len(r) + 1 for r in raw])
+    owner = np.searchsorted(byte_ends, starts, "right")
+    sizes = np.bincount(owner, minlength=len(raw))
+    many = len(hashes) - least + 1
+    if many <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    value, of, at, line, end = grams(hashes, sizes)
+    first, chosen = winnowed(value, of)
+    once = ~np.isin(value[chosen].view(np.int64), again)
+    begin, line, end = at[first[once]], line[first[once] + WINDOW - 1], end[first[once] + WINDOW - 1]
+    # A line that only its text's end cuts short may go on in a copy.
+    whole = ((hashes[end - 1] & np.uint64(1)) == 1) | (end - line == LONGEST)
+    begin, end = begin[whole], end[whole]
+    odd = np.flatnonzero(hashes & np.uint64(1))
+    before = np.searchsorted(odd, begin)  # odd words before the lines
+    begin, end, before = begin[before > 0], end[before > 0], before[before > 0]
+    low, high = np.maximum(end - least, 0), odd[before - 1] + 1
+    low, high = low[low < high], high[low < high]
+    alone = np.cumsum(np.bincount(low, minlength=len(hashes) + 1) - np.bincount(high, minlength=len(hashes) + 1))[:many] > 0
+    kept = np.flatnonzero((owner[:many] == owner[least - 1 :]) & ~alone)
+    of = owner[kept]
+    lead = (np.frombuffer(joined, np.uint8) & 0xC0) != 0x80
+    points = np.concatenate(([0], np.cumsum(lead)))
+    text_start = points[byte_ends - [len(r) + 1 for r in raw]]
+    word_start = np.cumsum(sizes) - sizes
+    return of, kept - word_start[of], spanned(hashes, least)[kept].view(np.int64), points[starts[kept]] - text_start[of], points[ends[kept + least - 1]] - text_start[of]
 
 
 def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -202,47 +207,46 @@ def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """
     prints = occurrences(docs)
     each = prints.select("doc_id", "text_hash", F.explode("prints").alias("print"))
-    again = stage(each.groupBy("print").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1").select("print", "first_id"), "again")
-    matched = each.join(again, "print").groupBy("doc_id", "text_hash", "first_id").agg(F.collect_set("print").alias("prints"))
-    # Both joins are on the id alone, the hash is compared besides: so they share one shuffle of the texts.
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("t_id"), F.xxhash64("text").alias("t_hash"), F.col("text").alias("t_text"))
-    mine = matched.join(texts, (F.col("doc_id") == F.col("t_id")) & (F.col("text_hash").bitwiseXOR(F.col("t_hash")) == 0)).drop("t_id", "t_hash")
-    source = texts.withColumnsRenamed({"t_id": "s_id", "t_hash": "s_hash", "t_text": "s_text"})
-    # Of rows with one id, a text's own place and those of smaller hashes come before it.
-    pairs = mine.join(source, (F.col("first_id") == F.col("s_id")) & ((F.col("s_id") < F.col("doc_id")) | (F.col("s_hash") <= F.col("text_hash"))))
+    again = stage(each.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"), "again")
+    matched = each.join(again, "print").groupBy("doc_id", "text_hash").agg(F.collect_set("print").alias("prints"))
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    names = ["at", "key", "start", "end"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recent: OrderedDict[tuple[int, int], Words] = OrderedDict()
-        held = 0
-
-        def of(key: tuple[int, int], text: str) -> Words:
-            nonlocal held
-            if key not in recent:
-                recent[key] = Words(text)
-                held += len(recent[key].raw)
-                while held > CHUNK_CHARS and len(recent) > 2:
-                    held -= len(recent.popitem(last=False)[1].raw)
-            recent.move_to_end(key)
-            return recent[key]
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, prints = batch["text"].to_pylist(), batch["prints"]
+            for a, b in chunks(texts):
+                of, *columns = windows_of(texts[a:b], np.unique(prints[a:b].flatten().to_numpy(zero_copy_only=False)), least_words)
+                sizes = pa.array(np.concatenate(([0], np.cumsum(np.bincount(of, minlength=b - a)))), pa.int32())
+                lists = [pa.ListArray.from_arrays(sizes, pa.array(c, pa.int64() if n == "key" else pa.int32())) for n, c in zip(names, columns)]
+                yield pa.RecordBatch.from_arrays([batch["doc_id"][a:b], batch["text_hash"][a:b], *lists], ["doc_id", "text_hash", *names])
+
+    looked = matched.join(texts, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "prints", "text")
+    looked = looked.mapInArrow(look, "doc_id long, text_hash long, at array<int>, key array<long>, start array<int>, end array<int>").where(F.size("at") > 0)
+    windows = stage(looked, "windows")
+    places = windows.select("doc_id", "text_hash", F.explode(F.arrays_zip("key", "at")).alias("w")).select("w.key", F.struct("doc_id", "text_hash", "w.at").alias("place"))
+    # The least place of a window merges before the shuffle, and only its document hears of it: no join by window.
+    firsts = places.groupBy("key").agg(F.min("place").alias("f")).groupBy("f.doc_id", "f.text_hash").agg(F.collect_list("f.at").alias("firsts"))
+    known = windows.drop("key").join(firsts, ["doc_id", "text_hash"], "left").select("doc_id", "text_hash", "at", "start", "end", "firsts")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, text_hash, text, prints, s_id, s_hash, s_text in zip(*(batch[c].to_pylist() for c in ("doc_id", "text_hash", "t_text", "prints", "s_id", "s_hash", "s_text"))):
-                y = of((s_id, s_hash), s_text)
-                x = of((doc_id, text_hash), text)
-                if runs := repeated(x, y, set(prints), least_words):
-                    points = x.points()
-                    out += [(doc_id, text_hash, int(points[x.starts[a]]), int(points[x.ends[b - 1]]), a, b) for a, b in runs]
-            names = ["doc_id", "text_hash", "start", "end", "a", "b"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 6, names)
-
-    found = pairs.select("doc_id", "text_hash", "t_text", "prints", "s_id", "s_hash", "s_text").mapInArrow(run, "doc_id long, text_hash long, start long, end long, a long, b long")
-    merged = """aggregate(array_sort(collect_set(struct(start, end, a, b))), CAST(array() AS array<struct<start:long,end:long,a:long,b:long>>), (acc, x) ->
-      IF(size(acc) > 0 AND x.start <= element_at(acc, -1).end,
-        concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'end', greatest(element_at(acc, -1).end, x.end), 'a', element_at(acc, -1).a, 'b', greatest(element_at(acc, -1).b, x.b)))),
-        concat(acc, array(x))))"""
-    spans = found.groupBy("doc_id", "text_hash").agg(F.expr(merged).alias("runs"))
-    return spans.select("doc_id", "text_hash", F.expr("transform(runs, r -> struct(r.start AS start, r.end AS end))").alias("spans"), F.expr("aggregate(runs, 0L, (n, r) -> n + r.b - r.a)").alias("words"))
+            for i in range(batch.num_rows):
+                at, start, end, firsts = (np.array(batch[c][i].values if batch[c][i].is_valid else [], np.int64) for c in ("at", "start", "end", "firsts"))
+                later = ~np.isin(at, firsts)
+                at, start, end = at[later], start[later], end[later]
+                if not len(at):
+                    continue
+                cut = np.flatnonzero(np.diff(at) > least_words)
+                heads, tails = np.concatenate(([0], cut + 1)), np.append(cut, len(at) - 1)
+                spans = [{"start": x, "end": y} for x, y in zip(start[heads].tolist(), end[tails].tolist())]
+                out.append((batch["doc_id"][i].as_py(), batch["text_hash"][i].as_py(), spans, int((at[tails] + least_words - at[heads]).sum())))
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, kinds)], ["doc_id", "text_hash", "spans", "words"])
+
+    spans = known.mapInArrow(run, "doc_id long, text_hash long, spans array<struct<start:long,end:long>>, words long")
+    return spans.dropDuplicates(["doc_id", "text_hash"])
 
 
 def keep_new(docs: DataFrame, **options) -> DataFrame:

@@ -248,6 +248,28 @@ def test_repeated_passages_by_brute_force(docs, edge, empty):
     assert linededup.keep_new(edge).count() == edge.count()
 
 
+def test_repeats_whose_first_holders_have_parts(docs):
+    """Every 50 words that stand earlier are cut, whichever places hold a part of them before; three places within one text too."""
+    rng = random.Random(8)
+    words = lambda n: [f"{rng.choice('abcdefgh')}{rng.randint(0, 40000)}" for _ in range(n)]
+    texts = []
+    for _ in range(20):
+        p = words(60)
+        texts += [words(9) + p[:49] + words(9), words(7) + p[11:] + words(9), words(5) + p + words(6), words(8) + p + words(3)]
+        q = words(60)
+        texts += [words(4) + q[:49] + words(5) + q[11:] + words(6) + q + words(7) + q + words(2), words(70), words(3) + q[4:58]]
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        cut = set()
+        for a in range(len(t) - 49):
+            window = tuple(t[a : a + 50])
+            cut |= set(range(a, a + 50)) if window in seen else set()
+            seen.add(window)
+        want[i] = [w for k, w in enumerate(t) if k not in cut]
+    got = {r["doc_id"]: r["text"].split() for r in linededup.keep_new(docs([(i, "é " + " ".join(t), "en") for i, t in enumerate(texts)])).collect()}
+    assert got == {i: ["é", *t] for i, t in want.items()}
+
+
 def test_nearest_recall(spark):
     got = defaultdict(list)
     for r in nearest.query(spark, "/root/testdata/sf0.1").orderBy("query_id", "rank").collect():
