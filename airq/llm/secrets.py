@@ -44,7 +44,16 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]{16,}"),
 )
-RULES = (*BASE, Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"), Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"))
+_LINE, _GAP = "[A-Za-z0-9+/]{16,}={0,2}", "[^A-Za-z0-9+/=-]"
+#: From its first line to the END line, whatever signs its lines are wrapped in; up to eight single hyphens may stand between
+#: (as in Proc-Type and DEK-Info). Without an END line to the last base64 character: up to 241 long lines and a short one,
+#: which is padded or fills its line. Counted repeats are no deeper than Java's stack and RE2's 1000.
+PEM = (
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-[^-]+){0,8}-----END [A-Z ]{0,40}PRIVATE KEY-----|"
+    rf"(?:{_GAP}{{0,8}}{_LINE})?" + rf"(?:{_GAP}{{1,8}}{_LINE}){{0,60}}" * 4
+    + rf"(?:{_GAP}{{1,8}}[A-Za-z0-9+/]{{1,15}}={{1,2}}|[\x20\x09\x0D]*\n[\x20\x09]*[A-Za-z0-9+/]{{1,15}}(?m:$))?)"
+)
+RULES = (*BASE, Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"), Rule("pem", PEM))
 
 Query = frozenset  # alternatives, each a frozenset of trigrams that must all be there
 ANY: Query = frozenset([frozenset()])

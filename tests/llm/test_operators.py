@@ -154,6 +154,27 @@ def test_secret_spans_and_masks(spark, docs, edge, empty):
     assert secrets.redact(edge).count() == edge.count() and secrets.redact(empty).count() == 0
 
 
+def test_private_keys_are_masked_whole(spark, docs):
+    rng = random.Random(6)
+    line = lambda n: "".join(rng.choice("ABCXYZabcxyz0189+/") for _ in range(n))
+    body = "\n".join(line(64) for _ in range(25))
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    encrypted = f"Proc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC,0123456789ABCDEF\n\n{body}\nab=="
+    quoted = "\\n".join([begin, *body.split("\n"), line(9) + "==", end])
+    far = begin + ("\n" + line(76)) * 201
+    cases = [
+        (f"é {begin}\n{body}\n{line(20)}=\n{end}\nnext", "é [SECRET]\nnext"), (f"{begin}\n{encrypted}\n{end} x", "[SECRET] x"),
+        (f'k = "{quoted}"', 'k = "[SECRET]"'), (f"{begin}\r\n" + body.replace("\n", "\r\n") + f"\r\n{end}\r\n", "[SECRET]\r\n"),
+        (f"a {begin}\n{body}\n{line(7)}", "a [SECRET]"), (f"{begin}\n{body}\n{line(6)}==\n\nplain words follow", "[SECRET]\n\nplain words follow"),
+        (f"{begin}\n{body}\n\nplain words follow", "[SECRET]\n\nplain words follow"), (f"the line {begin} starts a key", "the line [SECRET] starts a key"),
+        (f"{begin}\n{body}\n{begin}\n{body}\n{end}", "[SECRET]\n[SECRET]"), (f"{far}\n\nplain words", "[SECRET]\n\nplain words"),
+        (begin + "\n" + line(64) * 20_000 + " z", "[SECRET] z"), (f"{begin}\n" + "plain words " * 50_000, "[SECRET]\n" + "plain words " * 50_000),
+    ]
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(docs([(i, t, "en") for i, (t, _) in enumerate(cases)])).collect()}
+    assert [masked[i] for i in range(len(cases))] == [m for _, m in cases]
+    assert secrets.required(secrets.PEM) == secrets.required(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
+
+
 def test_toxicity_folds_and_scores(spark, edge, empty):
     lexicon = toxicity.Lexicon({"idiot": 4.0, "ioser": 4.0, "vequ*": 3.0}, ("ioser tree",), (-4.0, 1.5, 0.5))
     scorer = toxicity.Scorer(lexicon)
