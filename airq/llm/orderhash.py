@@ -1,6 +1,8 @@
 """Order MinHash fingerprints, sensitive to edits and to the order of what is shared.
 
-A text's words are cut into pieces of at most 16 characters; three pieces in a
+A text's words are its pieces; those of more than 16 characters are cut where the
+hash of two neighbouring characters is the least of five in a row, so pieces fall
+into step again after an edit. Three pieces in a
 row are a k-mer, and each k-mer carries the number of its earlier occurrences.
 A hash puts each numbered k-mer into one of 32 bins; the two smallest of a bin
 are put back into text order and hashed together. The bins' values are the
@@ -16,6 +18,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 K = 3
+#: A longer word is cut, after each pair of characters whose hash none of so many on either side is below.
+WORD, BESIDE = 16, 2
 #: A position takes 24 bits of a number, a k-mer's hash the other 40.
 LOW = (1 << 24) - 1
 BIN_SHIFT, BINS = 59, 32
@@ -45,7 +49,12 @@ def fingerprint(text: str) -> Column:
     body = let(value=numbered, name="v", body=body)
     body = let(value=starts, name="s", body=body)
     body = let(value=kmers, name="p", body=body)
-    return F.expr(let(value=rf"regexp_extract_all(coalesce({text}, ''), r'\S{{1,16}}', 0)", name="t", body=body))
+    beside = ", ".join(f"get(g, i + ({d}))" for d in range(-BESIDE, BESIDE + 1))
+    cut = let(value="transform(c, (x, i) -> xxhash64(x, get(c, i + 1)))", name="g", body=f"array_join(transform(c, (x, i) -> IF(get(g, i) <= least({beside}), concat(x, ' '), x)), '')")
+    cut = f"IF(char_length(w) <= {WORD}, w, {let(value="split(w, '')", name='c', body=cut)})"
+    spaced = rf"IF(y RLIKE r'\S{{{WORD + 1}}}', array_join(transform(regexp_extract_all(y, r'\S+', 0), w -> {cut}), ' '), y)"
+    pieces = let(value=f"coalesce({text}, '')", name="y", body=rf"regexp_extract_all({spaced}, r'\S+', 0)")
+    return F.expr(let(value=pieces, name="t", body=body))
 
 
 def as_text(values: str) -> Column:

@@ -132,6 +132,22 @@ def test_order_matters(spark):
     assert share(a, c) == 0 and 0.2 < share(a, b) < 0.85
 
 
+def test_edits_inside_unspaced_text(spark):
+    """A character put in or taken out leaves most of an unspaced run's k-mers as they are; other runs share none."""
+    rng = random.Random(12)
+    alphabets = ["".join(map(chr, range(0x4E00, 0x4E00 + 800))), "".join(map(chr, range(0x0E01, 0x0E2F))), "ABCDEFGHabcdefgh0123456789+/", "🙂🙃😀😁漢字かな"]
+    pairs = []
+    for letters in alphabets:
+        run, other = ("".join(rng.choice(letters) for _ in range(1000)) for _ in range(2))
+        for near in (rng.choice(letters) + run, run[1:], run[:300] + rng.choice(letters) + run[300:], "some words before " + run):
+            pairs.append((run, near, other))
+    pairs.append(("a" * 1000, "b" + "a" * 1000, "".join(rng.choice(alphabets[2]) for _ in range(1000))))
+    pairs.append(("0123456789abcdef" * 60, "x" + "0123456789abcdef" * 60, "漢" * 500))
+    table = spark.createDataFrame(pairs, "x string, y string, z string").coalesce(1).select(*[orderhash.fingerprint(c).alias(c) for c in "xyz"])
+    told = table.select(orderhash.likeness("x", "y").alias("near"), orderhash.likeness("x", "z").alias("far")).collect()
+    assert min(r["near"] for r in told) > 0.6 and max(r["far"] for r in told) < 0.1
+
+
 def test_trigram_queries():
     for rule in secrets.RULES:
         query = secrets.required(rule.pattern)
