@@ -132,6 +132,16 @@ def test_order_matters(spark):
     assert share(a, c) == 0 and 0.2 < share(a, b) < 0.85
 
 
+def test_order_of_short_texts(spark):
+    """At 30 words the order counts less than at 400, as the README says, but it counts."""
+    rng, pairs = random.Random(2), []
+    for _ in range(100):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(30)]
+        pairs.append((" ".join(words), " ".join(words[15:] + words[:15])))
+    prints = spark.createDataFrame(pairs, "x string, y string").coalesce(1).select(*[orderhash.fingerprint(c).alias(c) for c in "xy"])
+    assert 0.55 < prints.select(F.avg(orderhash.likeness("x", "y"))).first()[0] < 0.75
+
+
 def test_edits_inside_unspaced_text(spark):
     """A character put in or taken out leaves most of an unspaced run's k-mers as they are; other runs share none."""
     rng = random.Random(12)
