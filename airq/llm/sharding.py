@@ -1,6 +1,6 @@
 """Shards along a Hilbert curve over metadata.
 
-Each dimension is cut at its quantiles over all rows; a row's cell has an index
+Each dimension is cut at its quantiles over all rows, texts by their whole values; a row's cell has an index
 on the curve, on which neighbours in all dimensions are near each other. Rows
 in the order of that index are cut into runs of equal counts. A shard then
 covers a small range of every dimension, and files are skipped by any of them.
@@ -49,23 +49,39 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def number_of(df: DataFrame, column: str) -> Column:
-    """A number in the order of the column's values; of texts, six bytes after what all of them begin with."""
-    if dict(df.dtypes)[column] != "string":
-        return F.col(column).cast("double")
-    ends = df.agg(F.min(column), F.max(column)).first()
-    lo, hi = ends[0] or "", ends[1] or ""
-    same = next((i for i, (a, b) in enumerate(zip(lo, hi)) if a != b), min(len(lo), len(hi)))
-    digits = F.substring(F.rpad(F.hex(F.substring(F.col(column), same + 1, 6)), 12, "0"), 1, 12)
-    return F.conv(digits, 16, 10).cast("double")
+def cells_of(df: DataFrame, column: str, bits: int) -> Column:
+    """The cell of each text of a column, from 0 to 2^bits - 1, by the share of rows up to its whole value.
+
+    Distinct values are counted and put in order by range partitions; only the first value of each cell
+    and one sum per partition come to the driver.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    parted = stage(values.repartitionByRange(n, "value").withColumn("part", F.spark_partition_id()), "values")
+    before, starts = 0, []
+    for r in parted.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():  # one row per partition
+        starts.append((r["part"], before))
+        before += r["n"]
+    if not before:
+        return F.lit(None).cast("double")
+    starts = F.broadcast(df.sparkSession.createDataFrame(starts, "part int, before long"))
+    upto = F.sum("n").over(W.partitionBy("part").orderBy("value")) + F.col("before")
+    cell = F.least(F.floor(upto * float(1 << bits) / before), F.lit((1 << bits) - 1)).cast("int")
+    heads = parted.join(starts, "part").select("value", cell.alias("cell")).groupBy("cell").agg(F.min("value").alias("value")).collect()  # 2^bits rows at most
+    known = F.array(*[F.struct(F.lit(r["value"]).alias("value"), F.lit(r["cell"]).alias("cell")) for r in heads])
+    return F.array_max(F.transform(F.filter(known, lambda h: h["value"] <= F.col(column)), lambda h: h["cell"])).cast("double")
 
 
 def curved(rows: DataFrame, dimensions: list[str], bits: int = BITS) -> DataFrame:
     """Adds ``curve``, the rows' index on the curve; null values are in the lowest cell of their dimension."""
-    rows = rows.select("*", *[number_of(rows, d).alias(f"dim_{i}") for i, d in enumerate(dimensions)])
+    kinds = dict(rows.dtypes)
+    texts = [kinds[d] == "string" for d in dimensions]
+    rows = rows.select("*", *[(cells_of(rows, d, bits) if text else F.col(d).cast("double")).alias(f"dim_{i}") for i, (d, text) in enumerate(zip(dimensions, texts))])
     parts = [j / (1 << bits) for j in range(1, 1 << bits)]
-    cuts = rows.agg(*[F.percentile_approx(f"dim_{i}", parts, 10_000) for i in range(len(dimensions))]).first()  # 2^bits numbers per dimension
-    cuts = [np.unique(np.array(c if c is not None else [], float)) for c in cuts]
+    numbers = [f"dim_{i}" for i, text in enumerate(texts) if not text]
+    found = rows.agg(*[F.percentile_approx(c, parts, 10_000).alias(c) for c in numbers]).first() if numbers else {}  # 2^bits numbers per dimension
+    # A cut that repeats counts as often: few values are spread over all cells by their shares of the rows.
+    cuts = [np.arange(1, 1 << bits, dtype=float) if text else np.array(found[f"dim_{i}"] or [], float) for i, text in enumerate(texts)]
 
     @F.pandas_udf("long")
     def index(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

@@ -361,6 +361,26 @@ def test_shards(spark, rows, edge, empty):
     assert sorted(r["size"] for r in sharding.shards(edge).collect())[:3] == [1, 1, 1] and sharding.shards(empty).count() == 0
 
 
+def test_few_values_and_like_texts_spread_over_the_cells(spark, monkeypatch):
+    seen = []
+    index = sharding.cells_of
+    monkeypatch.setattr(sharding, "cells_of", lambda df, column, bits: seen.append(index(df, column, bits)) or seen[-1])
+    rows = [(i, ["de", "en", "fr", "zh"][i % 4], None if i == 7 else "" if i == 8 else f"https://site/{i % 40:02}", "p" * (i % 5)) for i in range(400)]
+    table = spark.createDataFrame(rows, "id long, lang string, source string, pad string")
+    got = sharding.curved(table.withColumn("size", F.length("pad")), ["lang", "source", "size"]).select("lang", "source", "size", "curve", *[c.alias(f"c{k}") for k, c in enumerate(seen)]).collect()
+    cells = {r["lang"]: r["c0"] for r in got}
+    assert [cells[x] for x in ("de", "en", "fr", "zh")] == [16, 32, 48, 63]
+    source = {r["source"]: r["c1"] for r in got}
+    assert source.pop(None) is None and source.pop("") == 0
+    ordered = [source[x] for x in sorted(source)]
+    assert len(set(ordered)) == 40 and ordered == sorted(ordered) and ordered[-1] == 63
+    # Eight runs of the curve tell the languages apart.
+    shards = defaultdict(set)
+    for place, r in enumerate(sorted(got, key=lambda r: r["curve"])):
+        shards[place * 8 // len(got)].add(r["lang"])
+    assert sum(map(len, shards.values())) <= 20
+
+
 def test_word_hashes_are_remembered():
     known = WordHashes()
     assert known.of([b"a", b"b", b"a"]).tolist()[0] == known.of([b"a"]).tolist()[0] and json.dumps(list(map(len, known))) == "[1, 1]"
