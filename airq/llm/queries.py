@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from airq.llm import bpe, language, linededup, nearest, neardup, orderhash, packing, secrets, sharding, toxicity
+from airq.llm import bpe, language, linededup, nearest, neardup, orderhash, packing, resampling, secrets, sharding, toxicity, vectorcodes
 
 QUERIES = {
     "op1_packing": packing.query,
@@ -16,9 +16,11 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_linededup": linededup.query,
     "op10_bpe": bpe.query,
+    "op11_vectorcodes": vectorcodes.query,
+    "op12_resampling": resampling.query,
     "pipeline": corpus_pipeline.run,
 }
 
-SQL = {"op3_secrets": secrets.SQL, "op5_neardup": neardup.SQL}
+SQL = {"op3_secrets": secrets.SQL, "op5_neardup": neardup.SQL, "op11_vectorcodes": vectorcodes.SQL}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
