@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from airq.llm import bpe, language, linededup, nearest, neardup, orderhash, packing, resampling, secrets, sharding, toxicity, vectorcodes
+from airq.llm import bpe, language, linededup, nearest, neardup, orderhash, packing, resampling, secrets, sharding, suffixdedup, toxicity, vectorcodes
 
 QUERIES = {
     "op1_packing": packing.query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_bpe": bpe.query,
     "op11_vectorcodes": vectorcodes.query,
     "op12_resampling": resampling.query,
+    "op13_suffixdedup": suffixdedup.query,
     "pipeline": corpus_pipeline.run,
 }
 

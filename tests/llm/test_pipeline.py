@@ -43,5 +43,5 @@ def test_stages(spark, docs):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 13)} | {"pipeline"} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
