@@ -9,6 +9,8 @@ pair run the merges.
 
 from __future__ import annotations
 
+import codecs
+import hashlib
 import heapq
 import json
 from collections.abc import Iterator
@@ -17,6 +19,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +32,10 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _NEVER = np.int64(1 << 40)
 #: Words of up to so many bytes are merged in steps of many words.
 SHORT = 48
+#: Characters of all remembered words, and of texts handled at once; bound a worker's memory.
+CACHE_CHARS, CHUNK_CHARS = 8_000_000, 500_000
+#: Ids joined, hashed or decoded at once.
+STRETCH = 100_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -47,16 +54,24 @@ class Known(dict):
     def forget(self) -> None:
         self.clear()
         self.new: list[str] = []
+        self.chars = 0
         self.flat, self.starts = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
         self.new.append(word)
+        self.chars += len(word)
         return number
 
     def numbers(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
+    def numbers_of(self, split: regex.Pattern, text: str) -> np.ndarray:
+        """The same for the words of a text; those of a long text never stand in a list."""
+        if len(text) <= CHUNK_CHARS:
+            return self.numbers(split.findall(text))
+        return np.fromiter((self[m.group()] for m in split.finditer(text)), np.int64)
+
     def learn(self, bpe: Bpe) -> None:
         """Encode the words that came up since the last call."""
         ids, _ = bpe.encode_words(self.new)
@@ -244,15 +259,15 @@ class Bpe:
 
     def encode_texts(self, texts: list[str], known: Known) -> list[np.ndarray]:
         """Ids of each text; ``known`` keeps the words that were seen."""
-        if len(known) > CACHE_WORDS:
+        if len(known) > CACHE_WORDS or known.chars > CACHE_CHARS:
             known.forget()
         words: list[np.ndarray] = []  # numbers of words; ~id for a special id
         for text in texts:
             if self.special_split and any(s in text for s in self.special):
-                parts = [[~self.special[p]] if p in self.special else known.numbers(self.split.findall(p)) for p in self.special_split.split(text)]
+                parts = [[~self.special[p]] if p in self.special else known.numbers_of(self.split, p) for p in self.special_split.split(text)]
                 words.append(np.concatenate([np.asarray(p, np.int64) for p in parts]))
             else:
-                words.append(known.numbers(self.split.findall(text)))
+                words.append(known.numbers_of(self.split, text))
         known.learn(self)
         return [known.ids(w) for w in words]
 
@@ -270,7 +285,7 @@ def encode(text: Column, vocabulary: str = VOCABULARY) -> Column:
         bpe, known = Bpe(public_tokenizers.path(vocabulary)), Known()
         for series in batches:
             texts, out = [t or "" for t in series.tolist()], []
-            for a, b in chunks(texts, 500_000):
+            for a, b in chunks(texts, CHUNK_CHARS):
                 out += bpe.encode_texts(texts[a:b], known)
             yield pd.Series(out, dtype=object)
 
@@ -289,11 +304,38 @@ def decode(ids: Column, vocabulary: str = VOCABULARY) -> Column:
     return texts(ids)
 
 
+def digests(ids: np.ndarray, bpe: Bpe) -> tuple[str, str]:
+    """SHA-256 of the decimal ids joined by commas, and of the decoded text in UTF-8, a stretch at a time."""
+    joined, decoded = hashlib.sha256(), hashlib.sha256()
+    table, decoder = bpe.bytes, codecs.getincrementaldecoder("utf-8")("replace")
+    for a in range(0, len(ids), STRETCH):
+        part = ids[a : a + STRETCH].tolist()
+        joined.update(("," if a else "").encode() + ",".join(map(str, part)).encode())
+        decoded.update(decoder.decode(b"".join([table[i] for i in part])).encode())
+    decoded.update(decoder.decode(b"", True).encode())
+    return joined.hexdigest(), decoded.hexdigest()
+
+
+def coded_digests(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of whole texts, encoded and decoded again in one pass.
+
+    Null texts count as empty; repeated rows stay; an empty table gives no rows. No ids leave the worker.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, known = Bpe(public_tokenizers.path(vocabulary)), Known()
+        for batch in batches:
+            texts = [t or "" for t in batch["text"].to_pylist()]
+            for a, b in chunks(texts, CHUNK_CHARS):
+                ids = bpe.encode_texts(texts[a:b], known)
+                told = [digests(i, bpe) for i in ids]
+                columns = [pa.array([len(i) for i in ids], pa.int64()), *(pa.array([t[j] for t in told], pa.string()) for j in (0, 1))]
+                yield pa.RecordBatch.from_arrays([batch["doc_id"][a:b], *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    coded = docs.select("doc_id", encode(F.col("text")).alias("ids"))
-    coded = coded.select("doc_id", "ids", decode(F.col("ids")).alias("decoded"))
-    return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-    )
+    """Digests of the ids and of the decoded text of every document; edge cases as ``coded_digests`` says."""
+    return coded_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
