@@ -68,7 +68,7 @@ def fold(doc_id: str | Column, n: int) -> Column:
 
 def hash_share(bound: int, count: Column, *cols: str) -> Column:
     """True for about ``bound`` of ``count`` rows, chosen by the hash of ``cols``; for all if they are fewer."""
-    return F.pmod(F.xxhash64(*cols), F.lit(1_000_000_007)) * count <= F.lit(bound * 1_000_000_007)
+    return F.pmod(F.xxhash64(*cols), F.lit(1_000_000_007)) <= F.floor(F.lit(float(bound * 1_000_000_007)) / count)
 
 
 def documents(spark, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ from airq.llm.common import chunks, fold, fresh, hash_share, mix
 
 GRAMS = (3, 4)
 PROBES = 3
+#: Characters handled at once inside a task; longer texts are cut.
+CHARS = 250_000
 #: Bits of a mask that are used; more languages take more mask words.
 BITS = 62
 UNKNOWN = "und"
@@ -32,33 +34,68 @@ def letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-def grams_of(texts: list, is_letter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all n-grams of the texts, and for each the text's number.
+def points_of(text: str, is_letter: np.ndarray) -> np.ndarray:
+    """The code points of a lowered text; runs of other characters than letters are one space."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = is_letter[points]
+    kept = letter.copy()
+    kept[1:] |= letter[:-1]
+    return np.where(letter, points, np.uint32(32))[kept]
+
+
+def hashed(points: np.ndarray, owner: np.ndarray, seen: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all n-grams with their owner, but those that end before ``seen``.
 
-    Texts are lowered; every run of other characters than letters counts as one space,
-    and a space stands before and after each text.
+    The first character of an n-gram may be the space before a text, the others belong to one text;
+    those with a space in second place are left out.
     """
-    lowered = [(t or "").lower() for t in texts]
-    points = np.frombuffer(" ".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-    owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in lowered])[: len(points)]
-    letter = is_letter[points]
-    points = np.where(letter, points, np.uint32(32))
-    kept = letter | np.concatenate(([True], letter[:-1]))
-    points = np.concatenate(([np.uint32(32)], points[kept], [np.uint32(32), np.uint32(32)])).astype(np.uint64)
-    owner = np.concatenate(([0], owner[kept], [len(texts) - 1] * 2))
     found, of = [], []
     for n in GRAMS:
-        if len(points) < n:
+        first = max(0, seen - n + 1)
+        if len(points) - first < n:
             continue
-        h = np.full(len(points) - n + 1, n, np.uint64)
+        part, belongs = points[first:].astype(np.uint64), owner[first:]
+        many = len(part) - n + 1
+        own = (belongs[1 : many + 1] == belongs[n - 1 :]) & (part[1 : many + 1] != 32)
+        h = np.full(many, n, np.uint64)
         for j in range(n):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + points[j : len(points) - n + 1 + j]
-        middle = owner[1 : len(points) - n + 2]
-        # The space between two texts belongs to both sides, n-grams across it to none.
-        own = (owner[n - 2 : len(points) - 1] == middle) & (points[1 : len(points) - n + 2] != 32)
+            h = h * np.uint64(0x9E3779B97F4A7C15) + part[j : many + j]
         found.append(mix(h[own]))
-        of.append(middle[own])
-    return (np.concatenate(found), np.concatenate(of)) if found else (np.empty(0, np.uint64), np.empty(0, int))
+        of.append(belongs[1 : many + 1][own])
+    return (np.concatenate(found), np.concatenate(of)) if found else (np.empty(0, np.uint64), np.empty(0, np.int32))
+
+
+def grams_of(texts: list, is_letter: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the n-grams of the texts and their texts' numbers, in parts of bounded size.
+
+    Texts are lowered; every run of other characters than letters counts as one space, and a space
+    stands before and after each text. A long text is cut, behind another character than a letter where
+    there is one, and its parts overlap by what an n-gram needs.
+    """
+    space, carry = np.full(1, 32, np.uint32), max(GRAMS) - 1
+    for a, b in chunks(texts, CHARS):
+        if b - a > 1 or len(texts[a] or "") <= CHARS:
+            parts = [np.concatenate((points_of(t or "", is_letter), space)) for t in texts[a:b]]
+            # A text that ends in a space needs no other.
+            parts = [p[:-1] if len(p) > 1 and p[-2] == 32 else p for p in parts]
+            owner = np.repeat(np.arange(a - 1, b, dtype=np.int32), [1, *map(len, parts)])
+            yield hashed(np.concatenate((space, *parts)), owner)
+            continue
+        text, at, before = texts[a], 0, space
+        while at < len(text):
+            end = min(len(text), at + CHARS)
+            if end < len(text):
+                end = next((i for i in range(end, max(at, end - 1000), -1) if not is_letter[ord(text[i - 1])]), end)
+            new = points_of(text[at:end], is_letter)
+            if before[-1] != 32 and not is_letter[ord(text[at])]:
+                new = np.append(space, new)
+            points = np.concatenate((before, new))
+            if end == len(text) and points[-1] != 32:
+                points = np.append(points, space)
+            owner = np.full(len(points), a, np.int32)
+            owner[0] -= at == 0
+            yield hashed(points, owner, len(before))
+            before, at = points[-carry:], end
 
 
 @dataclass(frozen=True)
@@ -89,9 +126,8 @@ def fit(docs: DataFrame, held_out: Column, per_language: int = 2000, slots: int
         is_letter = letters()
         for batch in batches:
             for lang, part in batch.groupby("lang"):
-                texts = part["text"].tolist()
-                for a, b in chunks(texts):
-                    gram, n = np.unique(grams_of(texts[a:b], is_letter)[0], return_counts=True)
+                for found, _ in grams_of(part["text"].tolist(), is_letter):
+                    gram, n = np.unique(found, return_counts=True)
                     yield pd.DataFrame({"gram": gram.view(np.int64), "lang": lang, "n": n})
 
     rates = (
@@ -117,11 +153,10 @@ def fit(docs: DataFrame, held_out: Column, per_language: int = 2000, slots: int
     return LanguageFilter(langs, masks, np.minimum(fill**PROBES, 0.99), int(np.argmax([counts[x] for x in langs])))
 
 
-def hits(model: LanguageFilter, grams: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """Per text and language, the hits that chance does not explain; the last column counts n-grams."""
-    slots = model.masks.shape[1]
-    out = np.zeros((n, len(model.langs) + 1))
-    out[:, -1] = np.bincount(owner, minlength=n)
+def hits(model: LanguageFilter, grams: np.ndarray, owner: np.ndarray, out: np.ndarray) -> None:
+    """Add to ``out``, per text and language, the n-grams that the language contains; the last column counts n-grams."""
+    slots, n = model.masks.shape[1], len(out)
+    out[:, -1] += np.bincount(owner, minlength=n)
     places = [(grams >> np.uint64(j * 21)) & np.uint64(slots - 1) for j in range(PROBES)]
     for w in range(len(model.masks)):
         mask = model.masks[w][places[0]]
@@ -130,10 +165,12 @@ def hits(model: LanguageFilter, grams: np.ndarray, owner: np.ndarray, n: int) ->
         some = mask != 0
         mask, of = mask[some], owner[some]
         for i in range(w * BITS, min(len(model.langs), (w + 1) * BITS)):
-            out[:, i] = np.bincount(of, weights=(mask >> (i % BITS)) & 1, minlength=n)
-    chance = model.chance
-    out[:, :-1] = np.maximum(0, (out[:, :-1] - out[:, -1:] * chance) / (1 - chance))
-    return out
+            out[:, i] += np.bincount(of, weights=(mask >> (i % BITS)) & 1, minlength=n)
+
+
+def unexplained(model: LanguageFilter, counts: np.ndarray) -> np.ndarray:
+    """The hits that chance does not explain."""
+    return np.maximum(0, (counts[:, :-1] - counts[:, -1:] * model.chance) / (1 - model.chance))
 
 
 def predict(docs: DataFrame, model: LanguageFilter, text: str = "text") -> DataFrame:
@@ -151,19 +188,19 @@ def predict(docs: DataFrame, model: LanguageFilter, text: str = "text") -> DataF
         m, is_letter = shared.value, letters()
         for series in batches:
             texts, names, scores = series.tolist(), [], []
-            for a, b in chunks(texts):
-                part = texts[a:b]
-                grams, owner = grams_of(part, is_letter)
-                table = hits(m, grams, owner, len(part)) if m.langs else None
-                for i, t in enumerate(part):
-                    if table is None or not t or not (table[i, -1] or any(map(str.isalpha, t))):
-                        names.append(UNKNOWN)
-                        scores.append(0.0)
-                        continue
-                    best = int(np.argmax(table[i, :-1]))
-                    share = table[i, best] / table[i, -1] if table[i, -1] else 0.0
-                    names.append(m.langs[best if share > 0 else m.common])
-                    scores.append(float(min(1.0, share)))
+            counts = np.zeros((len(texts), len(m.langs) + 1))
+            for grams, owner in grams_of(texts, is_letter) if m.langs else ():
+                hits(m, grams, owner, counts)
+            table = unexplained(m, counts)
+            for t, row, n in zip(texts, table, counts[:, -1]):
+                if not m.langs or not t or not (n or any(map(str.isalpha, t))):
+                    names.append(UNKNOWN)
+                    scores.append(0.0)
+                    continue
+                best = int(np.argmax(row))
+                share = row[best] / n if n else 0.0
+                names.append(m.langs[best if share > 0 else m.common])
+                scores.append(float(min(1.0, share)))
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
     told, = fresh(docs, "told")
@@ -182,9 +219,9 @@ def keep_known(docs: DataFrame, least_score: float = 0.02, **options) -> DataFra
     model = fit(docs, fold("doc_id", 3) == 1, **options)
     if not model.langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    marked, = fresh(docs, "marked")
-    told = predict(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias(marked), F.col("text")), model)
-    return told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select(*[F.col(marked)[c].alias(c) for c in columns])
+    # The row travels once: its own text is read inside it.
+    told = predict(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")), model, "row.text")
+    return told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select(*[F.col("row")[c].alias(c) for c in columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
