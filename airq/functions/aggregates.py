@@ -16,20 +16,25 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def n_rows() -> Column:
-    return F.count(F.lit(1))
+def over(aggregate: Column, window: WindowSpec | None) -> Column:
+    """The aggregate itself, or its value for the row's window."""
+    return aggregate if window is None else aggregate.over(window)
 
 
-def strict(agg: Callable[[Column], Column], c: str | Column) -> Column:
-    """``agg(c)``, or NULL when any row of the group has no ``c``."""
+def n_rows(window: WindowSpec | None = None) -> Column:
+    return over(F.count(F.lit(1)), window)
+
+
+def strict(agg: Callable[[Column], Column], c: str | Column, window: WindowSpec | None = None) -> Column:
+    """``agg(c)``, or NULL when any row of the group or window has no ``c``."""
     c = col(c)
-    return F.when(F.count(c) == n_rows(), agg(c))
+    return F.when(over(F.count(c), window) == n_rows(window), over(agg(c), window))
 
 
-def strict_where(agg: Callable[[Column], Column], c: str | Column, condition: Column) -> Column:
-    """Strict aggregate over the rows of the group that meet ``condition``."""
+def strict_where(agg: Callable[[Column], Column], c: str | Column, condition: Column, window: WindowSpec | None = None) -> Column:
+    """Strict aggregate over the rows of the group or window that meet ``condition``."""
     value = F.when(condition, col(c))
-    return F.when(F.count(value) == F.count_if(condition), agg(value))
+    return F.when(over(F.count(value), window) == over(F.count_if(condition), window), over(agg(value), window))
 
 
 def n_distinct(c: str | Column) -> Column:
@@ -56,8 +61,7 @@ def missing_ratio(c: str | Column) -> Column:
 
 def any_true(condition: Column, window: WindowSpec | None = None) -> Column:
     """True when one row of the group or window meets the condition; unknown counts as false."""
-    found = F.bool_or(condition)
-    return F.coalesce(found if window is None else found.over(window), F.lit(False))
+    return F.coalesce(over(F.bool_or(condition), window), F.lit(False))
 
 
 def nan_to_null(df: DataFrame, *names: str) -> DataFrame:

@@ -1,17 +1,18 @@
 """The nearest outdoor station among those that report on a day.
 
-Sites and stations meet on grid cells, not pairwise. At one cell size, each
-site sees the stations of its own and the eight adjacent cells, an equi join
-on (Date, cell). The best candidate is final if it is closer than anything
-outside those nine cells can be. Site-days that are still open go on to larger
-cells; the last step compares what is left with all stations of the day. The
-answer is exact at every step, and the pairs looked at stay near the number of
-stations around a site.
+Distances depend on positions alone, so they are measured once per pair of a
+site's and a station's position, however many days there are. Positions meet on
+grid cells, not pairwise: at one cell size, each site sees the stations of its
+own and the eight adjacent cells, an equi join on the cell. Those closer than anything
+outside the nine cells can be, ranked by distance, are the site's candidates;
+each site-day takes the first candidate that reports on its day. Only site-days without one
+go on, to larger cells and longer lists; the last cells cover the globe. The answer is exact at every step.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airq.functions.aggregates import n_rows
@@ -19,9 +20,11 @@ from airq.functions.geo import with_distance_m
 from airq.operators.align import union_aligned
 from airq.sources.staging import stage
 
-# Cell sizes in degrees; each divides 360, so cells close around the globe.
-CELL_DEGREES = (0.0625, 0.125, 0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0)
+# Cell sizes in degrees; each divides 360, so cells close around the globe. Nine cells of the last are the whole globe.
+CELL_DEGREES = (0.0625, 0.125, 0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0, 120.0)
 STATIONS_PER_CELL = 16
+# Candidates of a site at the first cell size; four times as many at each next one, all at the last.
+CANDIDATES = 8
 
 # Lower bounds for an exact search on the ellipsoid: metres per degree of
 # latitude and polar radius, reduced by one per cent.
@@ -50,24 +53,34 @@ def _safe_radius(degrees: float) -> Column:
 
 def _first_size(stations: DataFrame) -> int:
     """Index of the largest cell size at which no cell is crowded."""
-    points = stations.select("lat", "lon").distinct()
     cells = F.array(*[
         F.struct(F.lit(i).alias("i"), _cell("lat", d).alias("y"), _cell("lon", d).alias("x")) for i, d in enumerate(CELL_DEGREES)])
-    counts = points.select(F.explode(cells).alias("c")).groupBy("c").agg(n_rows().alias("n"))
+    counts = stations.select(F.explode(cells).alias("c")).groupBy("c").agg(n_rows().alias("n"))
     crowded = {r.i: r.n for r in counts.groupBy("c.i").agg(F.max("n").alias("n")).collect()}
-    fitting = [i for i, n in crowded.items() if n <= STATIONS_PER_CELL]
+    fitting = [i for i, n in crowded.items() if n <= STATIONS_PER_CELL and i < len(CELL_DEGREES) - 1]
     return max(fitting, default=0)
 
 
-def _best(pairs: DataFrame) -> DataFrame:
-    """Nearest station per site-day, in whole tenths of a millimetre: so equal distances tie despite rounding errors, and the smaller code wins."""
-    measured = with_distance_m(pairs, "metres", "lat", "lon", "_lat", "_lon")
-    found = F.when(F.col("code").isNotNull(), F.struct(F.round(F.col("metres") * 10_000).cast("bigint").alias("far"), "code"))
-    return measured.groupBy("Date", "lat", "lon").agg(F.min(found).alias("best"))
+def _candidates(sites: DataFrame, stations: DataFrame, degrees: float, most: int | None) -> DataFrame:
+    """Per site position the nearest station positions ``_lat, _lon`` and how ``far`` they are, the first ``most`` and their ties.
 
-
-def _metres() -> Column:
-    return F.col("best.far") / 10_000
+    No position outside the list is closer than one in it, unless it stands behind it in rank. Without ``most`` all
+    positions of the nine cells are listed. Distances are whole tenths of a millimetre: so equal ones tie despite rounding errors.
+    """
+    around = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
+    near = stations.select(
+        F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), _cell("lat", degrees).alias("_y"), _cell("lon", degrees).alias("_x"),
+    ).withColumn("_dy", F.explode(around)).withColumn("_dx", F.explode(around)).select(
+        "_lat", "_lon", (F.col("_y") + F.col("_dy")).alias("_y"), F.pmod(F.col("_x") + F.col("_dx"), _columns(degrees)).alias("_x"),
+    ).distinct()  # three columns or fewer around the globe meet themselves
+    placed = sites.withColumns({"_y": _cell("lat", degrees), "_x": F.pmod(_cell("lon", degrees), _columns(degrees))})
+    measured = with_distance_m(placed.join(near, ["_y", "_x"]), "metres", "lat", "lon", "_lat", "_lon")
+    listed = measured.select("lat", "lon", "_lat", "_lon", F.round(F.col("metres") * 10_000).cast("bigint").alias("far"))
+    if most is not None:
+        # The radius is looked at behind the window, so the distance is computed in one place.
+        listed = listed.withColumn("_rank", F.rank().over(W.partitionBy("lat", "lon").orderBy("far")))
+        listed = listed.where((F.col("_rank") <= most) & (F.col("far") < _safe_radius(degrees) * 10_000))
+    return listed.select("lat", "lon", "_lat", "_lon", "far")
 
 
 def nearest_reporting(sites: DataFrame, stations: DataFrame) -> DataFrame:
@@ -84,32 +97,25 @@ def nearest_reporting(sites: DataFrame, stations: DataFrame) -> DataFrame:
 
     # Stations at one point are the same candidate; the smallest code stands for them.
     active = located(stations).where(F.col("code").isNotNull()).groupBy("Date", "lat", "lon").agg(F.min("code").alias("code"))
-    active = stage(active.select("Date", "code", "lat", "lon"), "station-days")
-    days = active.select("Date").distinct()
-    wanted = located(sites).select("Date", "lat", "lon").distinct().join(days, "Date", "left_semi")
+    active = stage(active.select("Date", "code", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")), "station-days")
+    points = stage(active.select(F.col("_lat").alias("lat"), F.col("_lon").alias("lon")).distinct(), "station-positions")
+    wanted = stage(located(sites).select("Date", "lat", "lon").distinct().join(active.select("Date").distinct(), "Date", "left_semi"), "site-days")
 
     done = []
-    for degrees in CELL_DEGREES[_first_size(active)::2]:
-        around = F.array(*[F.lit(i).cast("bigint") for i in (-1, 0, 1)])
-        near = active.select(
-            "Date", "code", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"),
-            _cell("lat", degrees).alias("_y"), _cell("lon", degrees).alias("_x"),
-        ).withColumn("_dy", F.explode(around)).withColumn("_dx", F.explode(around)).select(
-            "Date", "code", "_lat", "_lon",
-            (F.col("_y") + F.col("_dy")).alias("_y"),
-            F.pmod(F.col("_x") + F.col("_dx"), _columns(degrees)).alias("_x"),
-        )
-        placed = wanted.withColumns({"_y": _cell("lat", degrees), "_x": F.pmod(_cell("lon", degrees), _columns(degrees))})
-        found = stage(_best(placed.join(near, ["Date", "_y", "_x"], "left")), "nearest")
-        final = F.coalesce(_metres() < _safe_radius(degrees), F.lit(False))
-        done.append(found.where(final))
-        wanted = found.where(~final).select("Date", "lat", "lon")
+    sizes = [*CELL_DEGREES[_first_size(points):-1:2], CELL_DEGREES[-1]]
+    for i, degrees in enumerate(sizes):
+        last = i == len(sizes) - 1
+        # Sites without a candidate on this grid go on at once.
+        listed = stage(_candidates(wanted.select("lat", "lon").distinct(), points, degrees, None if last else CANDIDATES << 2 * i), "candidates")
+        reporting = wanted.join(listed, ["lat", "lon"]).join(active, ["Date", "_lat", "_lon"])
+        found = reporting.groupBy("Date", "lat", "lon").agg(F.min(F.struct("far", "code")).alias("best"))
+        done.append(stage(found, "nearest"))
+        if last:
+            break
+        wanted = stage(wanted.join(done[-1], ["Date", "lat", "lon"], "left_anti"), "site-days")
         if wanted.isEmpty():
             break
-    else:
-        everywhere = active.select("Date", "code", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
-        done.append(_best(wanted.join(everywhere, "Date")))
-    return union_aligned(*done).select("Date", "lat", "lon", F.col("best.code").alias("code"), _metres().alias("metres"))
+    return union_aligned(*done).select("Date", "lat", "lon", F.col("best.code").alias("code"), (F.col("best.far") / 10_000).alias("metres"))
 
 
 def closest_station_each_day(indoor: DataFrame, outdoor: DataFrame) -> DataFrame:

@@ -1,8 +1,11 @@
 """Which device-days are complete, plausible and occupied.
 
-A rule about a device-day is an aggregate condition. Several rules are decided
+A rule about a device-day is an aggregate condition, for a group or for a
+window. Several rules are decided
 in one aggregation (`days_where`), which merges before the shuffle and only
 needs the rule's columns; the readings are then reduced by one semi join.
+Where days are bounded and a window over the day follows anyhow, the rules are
+decided in its exchange, so the readings are read and moved once.
 Readings have a device and a time: rows without either belong to no day.
 """
 
@@ -13,13 +16,13 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from airq.functions.aggregates import any_true, missing_ratio, n_rows, strict, strict_where
+from airq.functions.aggregates import any_true, missing_ratio, n_rows, over, strict, strict_where
 from airq.functions.times import hour_between
-from airq.operators.groups import MAX_GROUP_ROWS, split_large, with_row_windows
+from airq.operators.groups import with_row_windows
 
 DAY = ("Date", "device_id")
 
@@ -58,20 +61,21 @@ OCCUPIED_MINUTES = Occupancy()
 OCCUPIED_QUARTERS = Occupancy(rows=21, skip_missing=True)
 
 
-def complete(rule: Completeness) -> Column:
-    return n_rows() >= rule.rows if rule.at_least else n_rows() > rule.rows
+def complete(rule: Completeness, window: WindowSpec | None = None) -> Column:
+    return n_rows(window) >= rule.rows if rule.at_least else n_rows(window) > rule.rows
 
 
-def plausible(limits: Mapping[str, float] = EXTREMES) -> Column:
+def plausible(limits: Mapping[str, float] = EXTREMES, window: WindowSpec | None = None) -> Column:
     """False when a strict maximum exceeds its limit; unknown is plausible."""
-    extreme = reduce(or_, [strict(F.max, c) > limit for c, limit in limits.items()])
+    extreme = reduce(or_, [strict(F.max, c, window) > limit for c, limit in limits.items()])
     return ~F.coalesce(extreme, F.lit(False))
 
 
-def occupied(rule: Occupancy = OCCUPIED_MINUTES, tz: str = "UTC") -> Column:
+def occupied(rule: Occupancy = OCCUPIED_MINUTES, tz: str = "UTC", window: WindowSpec | None = None) -> Column:
     inside = hour_between("DateTime", rule.first_hour, rule.last_hour, tz)
-    mean = F.avg(F.when(inside, F.col("rco2"))) if rule.skip_missing else strict_where(F.avg, "rco2", inside)
-    return (F.count_if(inside) > rule.rows) & F.coalesce(mean > rule.mean_co2, F.lit(False))
+    value = F.when(inside, F.col("rco2"))
+    mean = over(F.avg(value), window) if rule.skip_missing else strict_where(F.avg, "rco2", inside, window)
+    return (over(F.count_if(inside), window) > rule.rows) & F.coalesce(mean > rule.mean_co2, F.lit(False))
 
 
 def mostly_present(c: str, max_missing: float = 0.25) -> Column:
@@ -154,27 +158,23 @@ def step_days(
     """Days with a CO2 step between successive readings of a device.
 
     The default finds falls (previous minus current); the series of a device
-    runs on over midnight.
+    runs on over midnight: before the first reading of a day comes the last one
+    of the device's previous day with readings. It is carried in a table of one
+    row per device-day, so no window holds a device's whole life.
     """
-    change = (lambda w: F.col("rco2") - F.lag("rco2", 1).over(w)) if rising else (
-        lambda w: F.lag("rco2", 1).over(w) - F.col("rco2"))
-    stepped = with_row_windows(
-        df.select(*DAY, *order, "rco2"), ["device_id"], order, [{"_step": change}], before=1, after=0, **limits)
+    step = (lambda old, new: new - old) if rising else (lambda old, new: old - new)
+    change = {"_step": lambda w: step(F.lag("rco2", 1).over(w), F.col("rco2"))}
+    stepped = with_row_windows(df.select(*DAY, *order, "rco2"), DAY, order, [change], before=1, after=0, **limits)
     inside = hour_between("DateTime", first_hour, last_hour, tz)
-    return days_where(stepped, any_true(inside & (F.col("_step") > threshold)))
-
-
-def by_size(df: DataFrame, keys: Sequence[str], clean: Callable[..., DataFrame], max_rows: int, bounded: bool = False) -> DataFrame:
-    """Apply ``clean(rows, bounded=...)`` to ordinary and to large groups apart.
-
-    The split comes before any join or shuffle, so the rows of a large group
-    never meet in one task on their way to the block-wise windows.
-    """
-    if bounded:
-        return clean(df, bounded=True)
-    usual, large, _ = split_large(df, keys, max_rows)
-    result = clean(usual, bounded=True)
-    return result if large is None else result.unionByName(clean(large, bounded=False, max_rows=max_rows))
+    place = F.struct(*order)
+    days = stepped.groupBy(*DAY).agg(
+        any_true(inside & (F.col("_step") > threshold)).alias("_found"),
+        F.min_by(F.struct("rco2", inside.alias("inside")), place).alias("_first"), F.max_by(F.struct("rco2"), place).alias("_last"),
+    )
+    before = F.lag("_last", 1).over(W.partitionBy("device_id").orderBy("Date"))
+    at_first = F.col("_first.inside") & (step(F.col("_before.rco2"), F.col("_first.rco2")) > threshold)
+    days = days.withColumn("_before", before)
+    return days.where(F.col("_found") | F.coalesce(at_first, F.lit(False))).select(*DAY)
 
 
 def clean_co2_minutes(
@@ -182,18 +182,24 @@ def clean_co2_minutes(
     rule: Occupancy = OCCUPIED_MINUTES,
     threshold: float = 100,
     tz: str = "UTC",
-    also: Sequence[Column] = (),
-    max_rows: int = MAX_GROUP_ROWS,
+    also: Sequence[Callable[[WindowSpec | None], Column]] = (),
     bounded: bool = False,
+    order: Sequence[str] = ("DateTime",),
     **window,
 ) -> DataFrame:
-    """Occupied days that also show a CO2 gradient (and meet the rules of ``also``)."""
+    """Occupied days that also show a CO2 gradient (and meet the rules of ``also``, given for a group or a window).
 
-    def clean(rows: DataFrame, **limits) -> DataFrame:
-        kept = keep_where(rows, *also, occupied(rule, tz))
-        return keep_gradient_days(kept, threshold, rule.first_hour, rule.last_hour, tz, **limits, **window)
-
-    return by_size(df, DAY, clean, max_rows, bounded)
+    Bounded days are judged by all rules where the gradient window has put them.
+    """
+    rules = [*also, lambda w: occupied(rule, tz, w)]
+    if bounded:
+        # The order of the gradient's window, so that the day is sorted once.
+        day = W.partitionBy(*DAY).orderBy(*order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+        placed = df.where(reduce(and_, [F.col(c).isNotNull() for c in DAY]))
+        kept = placed.withColumn("_keep", reduce(and_, [r(day) for r in rules])).where("_keep").drop("_keep")
+    else:
+        kept = keep_where(df, *[r(None) for r in rules])
+    return keep_gradient_days(kept, threshold, rule.first_hour, rule.last_hour, tz, bounded=bounded, order=order, **window)
 
 
 def clean_co2_quarters(
@@ -201,15 +207,8 @@ def clean_co2_quarters(
     rule: Occupancy = OCCUPIED_QUARTERS,
     threshold: float = 200,
     tz: str = "UTC",
-    max_rows: int = MAX_GROUP_ROWS,
-    bounded: bool = False,
     **window,
 ) -> DataFrame:
     """The same for 15-minute series, with a step instead of a gradient."""
-
-    def clean(rows: DataFrame, **limits) -> DataFrame:
-        kept = keep_where(rows, occupied(rule, tz))
-        return keep_days(kept, step_days(
-            kept, threshold, first_hour=rule.first_hour, last_hour=rule.last_hour, tz=tz, **limits, **window))
-
-    return by_size(df, ["device_id"], clean, max_rows, bounded)
+    kept = keep_where(df, occupied(rule, tz))
+    return keep_days(kept, step_days(kept, threshold, first_hour=rule.first_hour, last_hour=rule.last_hour, tz=tz, **window))

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from airq.functions.air import MEASURES
 from airq.functions.text import date_device
 from airq.functions.times import floor_hour
-from airq.operators.groups import MAX_GROUP_ROWS, group_quantiles
+from airq.operators.groups import group_quantiles
 from airq.operators.quality import DAY
 
 QUARTILES = (0.5, 0.25, 0.75)
@@ -46,11 +46,10 @@ def four_statistics(
     df: DataFrame,
     keys: Sequence[str],
     measures: Sequence[str] = MEASURES,
-    max_rows: int = MAX_GROUP_ROWS,
     bounded: bool = False,
 ) -> DataFrame:
     """Mean, median and quartiles of each measure per group."""
-    q = group_quantiles(df, keys, measures, QUARTILES, max_rows, bounded)
+    q = group_quantiles(df, keys, measures, QUARTILES, bounded)
     columns = []
     for m in measures:
         columns += [

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from airq.functions.aggregates import is_finite, n_distinct
 from airq.functions.text import distance_label, regression_label
 from airq.functions.times import season
-from airq.operators.groups import MAX_GROUP_ROWS, first_per_key, group_quantiles
+from airq.operators.groups import first_per_key, group_quantiles
 from airq.sources.staging import stage
 
 
@@ -31,7 +31,7 @@ def site_pairs(in_out: DataFrame, station: str = "site") -> DataFrame:
     return first.where(F.col("school_lat").isNotNull() & F.col("station_lat").isNotNull())
 
 
-def distance_summary(pairs: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def distance_summary(pairs: DataFrame) -> DataFrame:
     """One row: schools, mean, median, smallest and largest distance, label.
 
     The pairs are read several times and are costly to make, so they are staged.
@@ -41,7 +41,7 @@ def distance_summary(pairs: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFr
         n_distinct("SchoolId_short").cast("bigint").alias("n_schools"), F.avg("distance_km").alias("mean_km"),
         F.min("distance_km").alias("min_km"), F.max("distance_km").alias("max_km"),
     )
-    middle = group_quantiles(pairs, [], ["distance_km"], [0.5], max_rows).select(F.col("distance_km_q")[0])
+    middle = group_quantiles(pairs, [], ["distance_km"], [0.5]).select(F.col("distance_km_q")[0])
     out = plain.withColumn("median_km", middle.scalar())
     label = distance_label("n_schools", "mean_km", "median_km", "min_km", "max_km")
     return out.select("n_schools", "mean_km", "median_km", "min_km", "max_km", label.alias("label"))
@@ -116,7 +116,7 @@ def with_regression_label(fit: DataFrame) -> DataFrame:
 
 
 def temporal_profile(
-    df: DataFrame, series: Sequence[str] = ("indoor", "outdoor"), time: str = "date", normalise: bool = True, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, series: Sequence[str] = ("indoor", "outdoor"), time: str = "date", normalise: bool = True
 ) -> DataFrame:
     """Median of each series by weekday and hour, hour, weekday, and month.
 
@@ -137,7 +137,7 @@ def temporal_profile(
     )
     keys = ["profile", "weekday", "hour", "month"]
     long = df.withColumn("_g", F.explode(groups)).select("_g.*", *series)
-    medians = group_quantiles(long, keys, series, [0.5], max_rows)
+    medians = group_quantiles(long, keys, series, [0.5])
 
     def value(s: str) -> Column:
         median = F.col(f"{s}_q")[0]

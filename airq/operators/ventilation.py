@@ -11,12 +11,12 @@ from airq.functions.aggregates import strict
 from airq.functions.air import OCCUPANCY, age_group, co2_excess, generation_rate
 from airq.functions.text import date_device
 from airq.functions.times import epoch_seconds, hour_between
-from airq.operators.groups import MAX_GROUP_ROWS, with_row_windows, with_running_sum
+from airq.operators.groups import with_row_windows, with_running_sum
 from airq.operators.quality import DAY
 
 
 def with_co2_trapezoids(
-    df: DataFrame, order: Sequence[str] = ("DateTime",), max_rows: int = MAX_GROUP_ROWS, bounded: bool = False
+    df: DataFrame, order: Sequence[str] = ("DateTime",), **limits
 ) -> DataFrame:
     """Add ``C_excess``, ``t_diff`` (s) and ``C_trap`` (h) within a device-day.
 
@@ -27,14 +27,15 @@ def with_co2_trapezoids(
         "t_diff": lambda w: F.coalesce(F.col("_t") - F.lag("_t", 1).over(w), F.lit(0.0)),
         "_earlier": lambda w: F.lag("C_excess", 1, 0.0).over(w),
     }]
-    out = with_row_windows(with_excess, DAY, order, steps, before=1, after=0, max_rows=max_rows, bounded=bounded)
+    out = with_row_windows(with_excess, DAY, order, steps, before=1, after=0, **limits)
     trapezoid = (F.col("t_diff") / 3600) * (F.col("C_excess") + F.col("_earlier")) / 2
     return out.withColumn("C_trap", trapezoid).drop("_t", "_earlier")
 
 
 def with_running_integral(df: DataFrame, order: Sequence[str] = ("DateTime",), **limits) -> DataFrame:
     """Add ``C_integral``, the running integral of excess CO2 in a device-day."""
-    return with_running_sum(with_co2_trapezoids(df, order, **limits), DAY, order, "C_trap", "C_integral", **limits)
+    apart = {k: v for k, v in limits.items() if k != "chunk_rows"}
+    return with_running_sum(with_co2_trapezoids(df, order, **limits), DAY, order, "C_trap", "C_integral", **apart)
 
 
 def ventilation(

@@ -13,7 +13,6 @@ from airq.functions.times import local_date
 from airq.functions.aggregates import nan_to_null
 from airq.operators import quality as Q
 from airq.operators.calendars import school_days
-from airq.operators.groups import MAX_GROUP_ROWS
 from airq.operators.lookup import keep_devices
 
 
@@ -31,10 +30,8 @@ class CleaningRules:
     measures: Sequence[str] = MEASURES
     tz: str = "UTC"
     order: Sequence[str] = ("DateTime",)
-    # One row per device and minute makes a day at most 1440 rows.
+    # One row per device and minute makes a day at most 1440 rows; otherwise days are handled in chunks.
     one_row_per_minute: bool = True
-    # Otherwise days above this size are handled in blocks.
-    max_day_rows: int = MAX_GROUP_ROWS
 
 
 def with_day(df: DataFrame, tz: str = "UTC") -> DataFrame:
@@ -46,14 +43,14 @@ def indoor_minutes(series: DataFrame, devices: DataFrame | None = None, rules: C
     """Minutes of complete, plausible, occupied days with a CO2 gradient.
 
     The first three rules judge whole days by aggregates and are decided
-    together, so the minutes are filtered twice: by these and by the gradient.
+    together, for bounded days in the exchange of the gradient's window.
     """
     df = with_day(nan_to_null(series), rules.tz)
     if devices is not None:
         df = keep_devices(df, devices)
     return Q.clean_co2_minutes(
-        df, rules.occupancy, rules.gradient, rules.tz, also=(Q.complete(rules.complete_day), Q.plausible(rules.extremes)),
-        max_rows=rules.max_day_rows, bounded=rules.one_row_per_minute,
+        df, rules.occupancy, rules.gradient, rules.tz, also=(lambda w: Q.complete(rules.complete_day, w), lambda w: Q.plausible(rules.extremes, w)),
+        bounded=rules.one_row_per_minute,
         k=rules.smooth_rows, reach=rules.reach_rows, order=rules.order,
     )
 

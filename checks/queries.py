@@ -106,6 +106,49 @@ def range_scan_pivot(t: Tables):
     return series.read_series(t.readings_long(), "2024-01-01", "2024-02-01", "1 hour", EVENT_TYPES)
 
 
+@query(
+    "range_scan_days", "DateTime:t device_id:i click:f view:f",
+    """SELECT date_trunc('hour', ts) AS "DateTime", device_id, avg(value) FILTER (WHERE field = 'click') AS click, avg(value) FILTER (WHERE field = 'view') AS view
+        FROM readings_long WHERE ts >= TIMESTAMP '2024-01-09 06:30:00' AND ts < TIMESTAMP '2024-01-17' AND field IN ('click', 'view') GROUP BY 1, 2""",
+)
+def range_scan_days(t: Tables):
+    """A range within the data: rows on either side and of other fields stay out."""
+    return series.read_series(t.readings_long(), "2024-01-09 06:30:00", "2024-01-17", "1 hour", ("click", "view"))
+
+
+@query(
+    "outdoor_years", "code:i date:t pm2_5:f n:i",
+    """SELECT l_suppkey AS code, l_shipdate AS date, sum(l_quantity) AS pm2_5, count(*) AS n FROM lineitem WHERE year(l_shipdate) IN (1996, 1999)
+        AND l_suppkey IN (SELECT code FROM stations WHERE site_type NOT IN (1, 2) OR site_type IS NULL) GROUP BY 1, 2""",
+)
+def outdoor_years(t: Tables):
+    """Two of seven years, with others between them."""
+    hourly = t.table("lineitem").select(F.col("l_suppkey").alias("code"), F.col("l_shipdate").alias("date"), F.col("l_quantity").alias("pm2_5"))
+    kept = series.station_readings(hourly, series.background_stations(t.stations(), [1, 2]), years=[1999, 1996])
+    return kept.groupBy("code", "date").agg(F.sum("pm2_5").alias("pm2_5"), n_rows().alias("n"))
+
+
+@query(
+    "months_written", "year:i month:i n:i total:f written_first:i written_again:i",
+    """SELECT year(l_shipdate) AS year, month(l_shipdate) AS month, count(*) AS n, sum(l_quantity) AS total, 3 AS written_first, 1 AS written_again
+        FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-11-01' AND l_shipdate < TIMESTAMP '1997-03-01' GROUP BY 1, 2""",
+)
+def months_written(t: Tables):
+    """Three months across a year's end, then a fourth; all other months stay out."""
+    root, lines = scratch_path(t.spark, "months"), t.table("lineitem").select("l_shipdate", "l_quantity")
+
+    def make(month: date):
+        stop = date(month.year + month.month // 12, month.month % 12 + 1, 1)
+        return {"lines": series.in_range(lines, str(month), str(stop), time="l_shipdate")}
+
+    months = [date(1996, 11, 1), date(1996, 12, 1), date(1997, 1, 1)]
+    first = outputs.write_months(t.spark, root, months, make)
+    again = outputs.write_months(t.spark, root, [*months, date(1997, 2, 1)], make)
+    back = outputs.read_months(t.spark, root, ["lines"])["lines"]
+    return back.groupBy("year", "month").agg(n_rows().alias("n"), F.sum("l_quantity").alias("total")).withColumns(
+        {"written_first": F.lit(len(first)), "written_again": F.lit(len(again))})
+
+
 @query(
     "time_slices", "step:s slice_start:t slice_end:t n:i",
     "WITH span AS (SELECT CAST(CAST(min(ts) AS DATE) AS TIMESTAMP) AS low, max(ts) AS high FROM events), "
@@ -328,6 +371,44 @@ def clean_minutes(t: Tables):
     return indoor_minutes(t.readings(), rules=RULES)
 
 
+# Few devices with many readings: all events of a fifth of the users are one device's, three kinds of them its CO2.
+def _dense_long(t: Tables) -> DataFrame:
+    co2 = F.col("field").isin("view", "click", "error")
+    return t.readings_long().select(
+        "ts", (F.col("device_id") % 5).alias("device_id"), F.when(co2, "rco2").when(F.col("field") == "signup", "pm02").otherwise("atmp").alias("field"),
+        F.when(co2, F.col("value") * 10 + 412).otherwise(F.col("value")).alias("value"))
+
+
+_DENSE_RULES = CleaningRules(
+    complete_day=Q.Completeness(4), extremes={"rco2": 2500, "pm02": 300}, occupancy=Q.Occupancy(rows=1, skip_missing=True), gradient=10,
+    smooth_rows=2, reach_rows=1, measures=READING_MEASURES)
+
+
+@query(
+    "indoor_minutes_from_long", "DateTime:t device_id:i Date:d DateDevice:s " + THREE,
+    """WITH wide AS (SELECT time_bucket(INTERVAL '2 hours', ts) AS "DateTime", user_id % 5 AS device_id,
+            avg(value * 10 + 412) FILTER (WHERE event_type IN ('view', 'click', 'error')) AS rco2,
+            avg(value) FILTER (WHERE event_type = 'signup') AS pm02, avg(value) FILTER (WHERE event_type = 'purchase') AS atmp
+        FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25 12:00:00' GROUP BY 1, 2),
+    own AS (SELECT *, CAST("DateTime" AS DATE) AS "Date" FROM wide WHERE device_id IN (SELECT device_id FROM sites WHERE MonitoringType IN (0, 1))),
+    verdict AS (SELECT device_id, "Date" FROM own GROUP BY ALL HAVING count(*) > 4
+        AND NOT coalesce(CASE WHEN count(rco2) = count(*) THEN max(rco2) END > 2500, false)
+        AND NOT coalesce(CASE WHEN count(pm02) = count(*) THEN max(pm02) END > 300, false)
+        AND count(*) FILTER (WHERE hour("DateTime") BETWEEN 9 AND 15) > 1 AND avg(rco2) FILTER (WHERE hour("DateTime") BETWEEN 9 AND 15) > 480),
+    kept AS (SELECT own.* FROM own SEMI JOIN verdict v ON own.device_id = v.device_id AND own."Date" = v."Date"),
+    smooth AS (SELECT *, CASE WHEN count(rco2) OVER f = 2 THEN avg(rco2) OVER f END AS level FROM kept
+        WINDOW f AS (PARTITION BY device_id, "Date" ORDER BY "DateTime" ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)),
+    climbs AS (SELECT *, lead(level) OVER w - lag(level) OVER w AS gradient FROM smooth WINDOW w AS (PARTITION BY device_id, "Date" ORDER BY "DateTime"))
+    SELECT *, CAST("Date" AS VARCHAR) || ' ' || CAST(device_id AS VARCHAR) AS "DateDevice" FROM kept WHERE (device_id, "Date") IN
+        (SELECT (device_id, "Date") FROM climbs WHERE hour("DateTime") BETWEEN 9 AND 15 AND gradient > 10)""",
+)
+def clean_minutes_from_long(t: Tables):
+    """The whole chain: a range of the long readings, window means, devices of two kinds of schools, all day rules."""
+    wide = series.read_series(_dense_long(t), "2024-01-05", "2024-01-25 12:00:00", "2 hours", READING_MEASURES)
+    devices = union_aligned(*[L.devices_of_type(_schools(t), _school_devices(t), kind) for kind in (0, 1)])
+    return indoor_minutes(wide, devices, _DENSE_RULES)
+
+
 @query("school_hour_minutes", "reading_id:i device_id:i Date:d rco2:f", "SELECT * FROM school_minutes")
 def clean_school_minutes(t: Tables):
     return school_hour_minutes(indoor_minutes(t.readings(), rules=RULES), t.terms(), t.holidays(), RULES)

@@ -58,8 +58,47 @@ def test_rules_are_one_aggregation(plain):
 def test_bounded_cleaning_moves_the_readings_once(plain):
     rules = CleaningRules(extremes={"pm02": 1000, "rco2": 5000}, order=ORDER)
     text = plan(indoor_minutes(plain.readings(), rules=rules))
-    # One exchange for the readings, one for the verdicts; all windows reuse the first.
-    assert count(text, "Exchange") == 2 and count(text, "Window") == 3
+    # All rules and windows share one exchange and one sort of one scan.
+    assert count(text, "Exchange") == 1 and count(text, "Window") == 4 and count(text, "Sort") == 1 and text.count("FileScan parquet") == 1
+
+
+def test_whole_chain_reads_the_readings_once(spark, plain):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")  # the devices are few
+    text = plan(QUERIES["indoor_minutes_from_long"].build(plain))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", text)
+    assert sum("event_type" in scan for scan in scans) == 1
+    # The readings move for the window means and for the days; the other exchanges hold devices.
+    fact = [x for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text) if "device_id" in x and ("Date" in x or "window" in x)]
+    assert len(fact) == 2 and any(x.startswith("Date, device_id") for x in fact)
+
+
+def test_nearest_measures_positions_not_days(spark):
+    """Measured pairs do not grow with the days, and nothing is joined by the day alone."""
+    from airq.operators import nearest
+
+    sites = spark.range(30).select((F.col("id") * 0.3 + 50).alias("lat"), (F.col("id") * 0.2).alias("lon"))
+    stations = spark.range(40).select(F.col("id").alias("code"), (F.col("id") * 0.25 + 49.9).alias("lat"), (F.col("id") * 0.21).alias("lon"))
+    measured = {}
+    whole = nearest.with_distance_m
+
+    for days in (1, 20):
+        dates = spark.range(days).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("Date"))
+        counts = []
+
+        def counted(df, *names):
+            counts.append(df.count())
+            text = plan(df)
+            assert "Date" not in text
+            return whole(df, *names)
+
+        nearest.with_distance_m = counted
+        try:
+            got = nearest.nearest_reporting(dates.crossJoin(sites), dates.crossJoin(stations))
+        finally:
+            nearest.with_distance_m = whole
+        measured[days] = counts
+        assert got.count() == 30 * days
+    assert measured[1] == measured[20] and sum(measured[1]) < 30 * 40
 
 
 def test_ventilation_shuffles_readings_once(plain):
@@ -93,11 +132,12 @@ def test_no_pairwise_joins_and_no_python(spark, name):
         assert operator not in text
 
 
-def test_large_groups_are_not_windowed_whole(spark):
-    """Above the limit no window runs over the day alone."""
+def test_unbounded_groups_are_not_windowed_whole(spark):
+    """Unless a bound is declared no window holds a day's rows: those of a slot are numbered, those of a chunk computed."""
     df = spark.range(2000).select(
         F.lit(dt.date(2024, 3, 4)).alias("Date"), F.lit("d").alias("device_id"), F.col("id").cast("timestamp").cast("timestamp_ntz").alias("DateTime"),
         F.col("id").cast("double").alias("rco2"))
-    text = plan(Q.with_co2_gradient(df, max_rows=100))
-    hot = [w for w in re.findall(r"windowspecdefinition\(([^)]*)\)", text) if "_chunk" in w or "_block" in w]
-    assert hot
+    text = plan(Q.with_co2_gradient(df))
+    windows = re.findall(r"windowspecdefinition\(([^)]*)\)", text)
+    per_row = [w for w in windows if "_slot ASC" not in w]
+    assert per_row and all("_chunk" in w or "_slot" in w for w in per_row)
