@@ -17,7 +17,7 @@ from airq.operators.rollup import (
 )
 from airq.operators.ventilation import by_ventilation, ventilation
 from airq.plans.indoor import CleaningRules, indoor_minutes, school_hour_minutes
-from airq.sources.outputs import finished_months, read_months, write_months
+from airq.sources.outputs import Keep, finished_months, read_months, write_months
 from airq.sources.staging import stage, staged_within
 
 
@@ -48,15 +48,19 @@ def _daily_school_hours(hourly: DataFrame, rate: DataFrame, dims: Dimensions, ru
     return daily.join(rate, ["Date", "device_id", "DateDevice"], "left")
 
 
-def _base_tables(series: DataFrame, dims: Dimensions, rules: CleaningRules) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _staged(name: str, df: DataFrame) -> DataFrame:
+    return stage(df, name)
+
+
+def _base_tables(series: DataFrame, dims: Dimensions, rules: CleaningRules, keep: Keep) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     # Four tables and more read the clean minutes, several the hourly means:
     # both are written once instead of being computed again for each reader.
     minutes = stage(indoor_minutes(series, dims.devices, rules), "minutes")
-    school = school_hour_minutes(minutes, dims.terms, dims.holidays, rules)
+    school = stage(school_hour_minutes(minutes, dims.terms, dims.holidays, rules), "school-minutes")
     return (
         minutes, school,
-        stage(hourly_means(minutes, rules.measures), "hourly"),
-        stage(hourly_means(school, rules.measures), "school-hourly"),
+        keep("indoor_hourly_24", hourly_means(minutes, rules.measures)),
+        keep("indoor_hourly_school", hourly_means(school, rules.measures)),
     )
 
 
@@ -71,15 +75,19 @@ def _in_out(hourly: DataFrame, school_hourly: DataFrame, outdoor: DataFrame, dim
 
 
 def month_tables(
-    series: DataFrame, outdoor: DataFrame, dims: Dimensions, rules: CleaningRules = CleaningRules(), vent_hours: tuple[int | None, int] = (5, 22)
+    series: DataFrame, outdoor: DataFrame, dims: Dimensions, rules: CleaningRules = CleaningRules(),
+    vent_hours: tuple[int | None, int] = (5, 22), keep: Keep = _staged,
 ) -> dict[str, DataFrame]:
-    """The eleven tables of one month; ``series`` and ``outdoor`` hold that month."""
+    """The eleven tables of one month; ``series`` and ``outdoor`` hold that month.
+
+    Tables that others are made from go through ``keep``, which writes them and gives a reader.
+    """
     limits = {"bounded": rules.one_row_per_minute}
-    minutes, _, hourly, school_hourly = _base_tables(series, dims, rules)
-    daily = stage(daily_summary(minutes, rules.measures, **limits), "daily")
-    rate = stage(ventilation(
-        hourly, dims.device_schools, first_hour=vent_hours[0], last_hour=vent_hours[1], tz=rules.tz, bounded=True), "rate")
-    school_daily = stage(_daily_school_hours(hourly, rate, dims, rules, {"bounded": True}), "school-daily")
+    minutes, _, hourly, school_hourly = _base_tables(series, dims, rules, keep)
+    daily = keep("indoor_daily_24", daily_summary(minutes, rules.measures, **limits))
+    rate = keep("ventilation", ventilation(
+        hourly, dims.device_schools, first_hour=vent_hours[0], last_hour=vent_hours[1], tz=rules.tz, bounded=True))
+    school_daily = keep("indoor_daily_school", _daily_school_hours(hourly, rate, dims, rules, {"bounded": True}))
     return {
         "indoor_hourly_24": hourly,
         "indoor_hourly_school": school_hourly,
@@ -109,18 +117,18 @@ def run_months(
     next one starts, so its last day is complete.
     """
 
-    def make(month: date) -> dict[str, DataFrame]:
+    def make(month: date, keep: Keep) -> dict[str, DataFrame]:
         stop = date(month.year + month.month // 12, month.month % 12 + 1, 1)
-        outside = cleaned.where((F.col("Date") >= F.lit(month)) & (F.col("Date") < F.lit(stop)))
-        return month_tables(series_of(month, stop), outside, dims, rules)
+        return month_tables(series_of(month, stop), cleaned.where(F.col("_month") == F.lit(month)).drop("_month"), dims, rules, keep=keep)
 
     finished = set(finished_months(spark, root))
     open_months = [m for m in months if m not in finished]
     if not open_months:
         return []
     with staged_within(spark):
-        # Made once for all months; ordered by day, a month reads only its part.
-        cleaned = stage(outdoor.sortWithinPartitions("Date"), "outdoor")
+        # Made once for all open months; a folder each, so a month opens only its own files.
+        month_of = F.trunc("Date", "month")
+        cleaned = stage(outdoor.withColumn("_month", month_of).where(F.col("_month").isin(*open_months)), "outdoor", by=["_month"])
         return write_months(spark, root, open_months, make)
 
 
@@ -134,14 +142,15 @@ def period_tables(
     dims: Dimensions,
     single_monitor_devices: DataFrame | None = None,
     rules: CleaningRules = CleaningRules(),
+    keep: Keep = _staged,
 ) -> dict[str, DataFrame]:
-    """Tables of one period, with four-statistic ensembles and ventilation by school."""
+    """Tables of one period, with four-statistic ensembles and ventilation by school; ``keep`` as in `month_tables`."""
     limits = {"bounded": rules.one_row_per_minute}
-    minutes, school, hourly, school_hourly = _base_tables(series, dims, rules)
-    daily = stage(daily_summary(minutes, rules.measures, **limits), "daily")
+    minutes, school, hourly, school_hourly = _base_tables(series, dims, rules, keep)
+    daily = keep("indoor_daily_24", daily_summary(minutes, rules.measures, **limits))
     rate = stage(ventilation(
         hourly, dims.device_schools, by_school=True, only_devices=single_monitor_devices, tz=rules.tz, bounded=True), "rate")
-    school_daily = stage(_daily_school_hours(hourly, rate, dims, rules, {"bounded": True}), "school-daily")
+    school_daily = keep("indoor_daily_school", _daily_school_hours(hourly, rate, dims, rules, {"bounded": True}))
     return {
         "indoor_hourly_school": school_hourly,
         "indoor_hourly_24": hourly,

@@ -8,6 +8,7 @@ own broadcast threshold decides about later joins.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -31,11 +32,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/airq/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return a reader of the written table."""
+def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once and return a reader of the written table; filters on the columns ``by`` prune its folders."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
     inside = _inside.get()
     (_staged if inside is None else inside).append(path)
     return spark.read.schema(df.schema).parquet(path)

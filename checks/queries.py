@@ -137,7 +137,7 @@ def months_written(t: Tables):
     """Three months across a year's end, then a fourth; all other months stay out."""
     root, lines = scratch_path(t.spark, "months"), t.table("lineitem").select("l_shipdate", "l_quantity")
 
-    def make(month: date):
+    def make(month: date, keep):
         stop = date(month.year + month.month // 12, month.month % 12 + 1, 1)
         return {"lines": series.in_range(lines, str(month), str(stop), time="l_shipdate")}
 
@@ -233,7 +233,7 @@ def resumable_write(t: Tables):
     root = scratch_path(t.spark, "months")
     readings = t.readings()
 
-    def make(month: date):
+    def make(month: date, keep):
         stop = date(month.year + month.month // 12, month.month % 12 + 1, 1)
         return {"readings": series.in_range(readings, str(month), str(stop), time="DateTime")}
 

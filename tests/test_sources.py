@@ -51,7 +51,7 @@ def test_months_resume_after_a_break(spark, tmp_path):
     root, made = str(tmp_path / "out"), []
     months = [dt.date(2024, 11, 1), dt.date(2024, 12, 1)]
 
-    def make(month):
+    def make(month, keep):
         made.append(month)
         if month.month == 12 and len(made) == 2:
             return {"a": spark.range(5), "b": spark.range(1).select(F.raise_error(F.lit("lost")).alias("id"))}
@@ -87,3 +87,49 @@ def test_staged_tables_are_released(spark):
     path = staged.inputFiles()[0]
     assert staging.release_staged(spark) >= 1
     assert not outputs._exists(spark, path)
+
+
+def test_month_tables_are_written_once(spark, tmp_path):
+    """A kept table is read from its final place by those made from it, and the manifest names every table."""
+    root, month = str(tmp_path / "kept"), dt.date(2024, 5, 1)
+    seen = {}
+
+    def make(month, keep):
+        base = keep("base", spark.range(7).withColumn("x", F.rand()))
+        seen["base"] = sorted(r.x for r in base.collect())
+        return {"base": base, "sum": base.agg(F.sum("x").alias("total"))}
+
+    assert outputs.write_months(spark, root, [month], make) == [month]
+    back = outputs.read_months(spark, root, ["base", "sum"])
+    assert sorted(r.x for r in back["base"].collect()) == seen["base"]  # random numbers were not drawn again
+    assert back["sum"].first().total == pytest.approx(sum(seen["base"]))
+    assert outputs._manifests(spark, root) == {month: {"base", "sum"}}
+    with pytest.raises(FileNotFoundError):
+        outputs.read_months(spark, root, ["absent"])
+    with pytest.raises(ValueError):
+        outputs.write_months(spark, root, [dt.date(2024, 6, 1)], lambda m, keep: {"a": keep("a", spark.range(1)), "b": keep("a", spark.range(1))})
+
+
+def test_broken_snapshot_leaves_the_old_state_whole(spark, tmp_path):
+    root = str(tmp_path / "snap")
+    lost = spark.range(1).select(F.raise_error(F.lit("lost")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        outputs.write_snapshot({"a": spark.range(1), "b": lost}, root)
+    with pytest.raises(FileNotFoundError):
+        outputs.read_snapshot(spark, root, ["a"])
+    outputs.write_snapshot({"a": spark.range(3), "b": spark.range(4)}, root)
+    with pytest.raises(Exception, match="lost"):
+        outputs.write_snapshot({"a": spark.range(30), "b": lost}, root)
+    sizes = lambda: {n: df.count() for n, df in outputs.read_snapshot(spark, root, ["a", "b"]).items()}
+    assert sizes() == {"a": 3, "b": 4}
+    open_reader = outputs.read_snapshot(spark, root, ["a"])["a"]
+    outputs.write_snapshot(lambda keep: {"a": (a := keep("a", spark.range(5))), "b": a.where("id > 3")}, root, spark)
+    assert sizes() == {"a": 5, "b": 1} and open_reader.count() == 3
+    outputs.write_snapshot({"a": spark.range(6), "b": spark.range(6)}, root)
+    assert sizes() == {"a": 6, "b": 6} and len(outputs._snapshots(spark, root)) == 2
+
+
+def test_staged_folders_are_pruned(spark):
+    table = staging.stage(spark.range(100).withColumn("part", F.col("id") % 4), "parts", by=["part"])
+    one = table.where("part = 2")
+    assert one.count() == 25 and "PartitionFilters: [isnotnull(part" in one._jdf.queryExecution().executedPlan().toString()
