@@ -14,6 +14,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from airq.functions import times
 from airq.functions.aggregates import n_rows
@@ -1027,70 +1028,116 @@ def _dimensions(t: Tables):
     return reports.Dimensions(sites.select("device_id"), sites, sites, t.terms(), t.holidays())
 
 
-def _totals(results: dict[str, DataFrame], columns: dict[str, str]) -> DataFrame:
-    return union_aligned(*[
-        results[name].agg(n_rows().alias("n"), F.sum(c).alias("total")).withColumn("name", F.lit(name)) for name, c in columns.items()])
+def _totals(results: dict[str, DataFrame]) -> DataFrame:
+    """Per table and numeric column: rows, rows with a value, sum of the values."""
+    parts = []
+    for name, df in results.items():
+        numeric = [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
+        sums = df.agg(n_rows().alias("n"), *[F.struct(F.lit(c).alias("column"), F.count(c).alias("filled"), F.sum(F.col(c).cast("double")).alias("total")).alias(f"c_{c}") for c in numeric])
+        parts.append(sums.select(F.lit(name).alias("name"), "n", F.inline(F.array(*[f"c_{c}" for c in numeric]))))
+    return union_aligned(*parts)
 
 
-_CLEAN_HOURLY = """WITH clean_hourly AS (SELECT date_trunc('hour', "DateTime") AS "DateTime", device_id, "Date", avg(rco2) AS rco2, avg(pm02) AS pm02,
-        avg(atmp) AS atmp FROM minutes GROUP BY ALL),
-    school_hourly AS (SELECT date_trunc('hour', "DateTime") AS "DateTime", device_id, "Date", avg(rco2) AS rco2, avg(pm02) AS pm02,
-        avg(atmp) AS atmp FROM school_minutes GROUP BY ALL),
-    daily AS (SELECT "Date", device_id, """ + sql_four(*READING_MEASURES) + """ FROM minutes GROUP BY 1, 2),
-    school_daily AS (SELECT "Date", device_id, """ + sql_four(*READING_MEASURES) + """ FROM clean_hourly
-        WHERE hour("DateTime") BETWEEN 9 AND 15 AND "Date" IN (SELECT "Date" FROM open_days) GROUP BY 1, 2),
+def _sql_totals(tables: dict[str, tuple[str, list[str]]]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS name, count(*) AS n, '{c}' AS "column", count("{c}") AS filled, sum(CAST("{c}" AS DOUBLE)) AS total FROM {source}"""
+        for name, (source, columns) in tables.items() for c in columns)
+
+
+_MEANS = ", ".join(f"avg({m}) AS {m}" for m in READING_MEASURES)
+_FOUR = [f"{m}_{x}" for m in READING_MEASURES for x in ("mean", "median", "q25", "q75")]
+_OUTSIDE = ["SchoolId_short", "SchoolLatitude", "SchoolLongitude", "closest_station", "km_distance_to_station", "pm2_5", "latitude", "longitude", "site_type"]
+
+
+def _stripped(extra: list[str] = []) -> str:
+    return ", ".join(f"avg({c}) AS {c.removesuffix('_mean')}" for c in _FOUR + extra)
+
+
+# The tables of the jobs, each once, from the clean minutes on.
+_JOB = f"""clean_hourly AS (SELECT date_trunc('hour', "DateTime") AS "DateTime", device_id, "Date", {_MEANS} FROM minutes GROUP BY ALL),
+    school_hourly AS (SELECT date_trunc('hour', "DateTime") AS "DateTime", device_id, "Date", {_MEANS} FROM school_minutes GROUP BY ALL),
+    daily AS (SELECT "Date", device_id, {sql_four(*READING_MEASURES)} FROM minutes GROUP BY 1, 2),
     lagged AS (SELECT *, (rco2 - 412) / 1000000.0::DOUBLE AS x, coalesce(epoch("DateTime") - lag(epoch("DateTime")) OVER w, 0) AS dt,
         lag((rco2 - 412) / 1000000.0::DOUBLE, 1, 0) OVER w AS x0 FROM clean_hourly WHERE hour("DateTime") BETWEEN 5 AND 22
         WINDOW w AS (PARTITION BY device_id, "Date" ORDER BY "DateTime")),
     rate AS (SELECT device_id, "Date", 0.001::DOUBLE * 5.24::DOUBLE * any_value(CASE WHEN s.SchoolType IN (1, 2, 3) THEN 3.1::DOUBLE ELSE 4.32::DOUBLE END)
-        / nullif(sum(dt / 3600 * (x + x0) / 2), 0) AS pp, avg(rco2) AS "CO2" FROM lagged JOIN sites s USING (device_id) GROUP BY 1, 2),
-    paired AS (SELECT h.*, i.km_distance_to_station AS km, i.pm2_5 FROM {source} h JOIN in_out i ON i.device_id = h.device_id AND i."DateTime" = h."DateTime"),
-    ens AS (SELECT "DateTime", avg(rco2) AS rco2 FROM clean_hourly GROUP BY 1),
-    ens_school AS (SELECT "DateTime", avg(rco2) AS rco2 FROM school_hourly GROUP BY 1) """
+        / nullif(sum(dt / 3600 * (x + x0) / 2), 0) AS pp_ventilation, avg(rco2) AS "CO2_mean" FROM lagged JOIN sites s USING (device_id) GROUP BY 1, 2),
+    rate_single AS (SELECT * FROM rate WHERE device_id IN (SELECT device_id FROM sites WHERE MonitoringType = 1)),
+    day_hours AS (SELECT "Date", device_id, {sql_four(*READING_MEASURES)} FROM clean_hourly
+        WHERE hour("DateTime") BETWEEN 9 AND 15 AND "Date" IN (SELECT "Date" FROM open_days) GROUP BY 1, 2),
+    school_daily AS (SELECT * FROM day_hours LEFT JOIN rate USING (device_id, "Date")),
+    school_daily_single AS (SELECT * FROM day_hours LEFT JOIN rate_single USING (device_id, "Date")),
+    pairs AS (SELECT device_id, "DateTime", {", ".join(_OUTSIDE)} FROM in_out),
+    paired_24 AS (SELECT * FROM clean_hourly JOIN pairs USING (device_id, "DateTime")),
+    paired_school AS (SELECT * FROM school_hourly JOIN pairs USING (device_id, "DateTime")),
+    mean_hourly AS (SELECT "DateTime", {_MEANS} FROM clean_hourly GROUP BY 1),
+    mean_school_hourly AS (SELECT "DateTime", {_MEANS} FROM school_hourly GROUP BY 1),
+    mean_daily AS (SELECT "Date", {_stripped()} FROM daily GROUP BY 1),
+    mean_school_daily AS (SELECT "Date", {_stripped(["pp_ventilation", "CO2_mean"])} FROM school_daily GROUP BY 1),
+    four_minutes AS (SELECT "DateTime", {sql_four(*READING_MEASURES)} FROM minutes GROUP BY 1),
+    four_school_minutes AS (SELECT "DateTime", {sql_four(*READING_MEASURES)} FROM school_minutes GROUP BY 1),
+    four_hourly AS (SELECT "DateTime", {sql_four(*READING_MEASURES)} FROM clean_hourly GROUP BY 1),
+    four_school_hourly AS (SELECT "DateTime", {sql_four(*READING_MEASURES)} FROM school_hourly GROUP BY 1),
+    four_daily AS (SELECT "Date", {sql_four(*READING_MEASURES)} FROM (SELECT "Date", rco2_mean AS rco2, pm02_mean AS pm02, atmp_mean AS atmp FROM daily) GROUP BY 1),
+    four_school_daily AS (SELECT "Date", {sql_four(*READING_MEASURES)} FROM (SELECT "Date", rco2_mean AS rco2, pm02_mean AS pm02, atmp_mean AS atmp FROM day_hours) GROUP BY 1)"""
+
+_HOURLY, _RATE, _PAIRED = ["device_id", *READING_MEASURES], ["pp_ventilation", "CO2_mean"], ["device_id", *READING_MEASURES, *_OUTSIDE]
+_MONTH_TABLES = {
+    "indoor_hourly_24": ("clean_hourly", _HOURLY), "indoor_hourly_school": ("school_hourly", _HOURLY),
+    "indoor_daily_24": ("daily", ["device_id", *_FOUR]), "indoor_daily_school": ("school_daily", ["device_id", *_FOUR, *_RATE]),
+    "ventilation": ("rate", ["device_id", *_RATE]), "in_out_24": ("paired_24", _PAIRED), "in_out_school": ("paired_school", _PAIRED),
+    "ensemble_hourly_school": ("mean_school_hourly", list(READING_MEASURES)), "ensemble_hourly_24": ("mean_hourly", list(READING_MEASURES)),
+    "ensemble_daily_school": ("mean_school_daily", [c.removesuffix("_mean") for c in [*_FOUR, *_RATE]]),
+    "ensemble_daily_24": ("mean_daily", [c.removesuffix("_mean") for c in _FOUR]),
+}
+_PERIOD_TABLES = {
+    **{name: _MONTH_TABLES[name] for name in ("indoor_hourly_24", "indoor_hourly_school", "indoor_daily_24", "in_out_24", "in_out_school")},
+    "indoor_daily_school": ("school_daily_single", ["device_id", *_FOUR, *_RATE]), "ventilation": ("rate_single", ["device_id", *_RATE]),
+    "ensemble_minutes_school": ("four_school_minutes", _FOUR), "ensemble_hourly_school": ("four_school_hourly", _FOUR),
+    "ensemble_daily_school": ("four_school_daily", _FOUR), "ensemble_minutes_24": ("four_minutes", _FOUR),
+    "ensemble_hourly_24": ("four_hourly", _FOUR), "ensemble_daily_24": ("four_daily", _FOUR),
+    "outdoor": ("outdoor_located", ["code", "pm2_5", "latitude", "longitude", "site_type"]),
+}
 
 
-@query(
-    "month_tables", "name:s n:i total:f",
-    _CLEAN_HOURLY.replace("{source}", "clean_hourly") + """
-    SELECT 'indoor_hourly_24' AS name, count(*) AS n, sum(rco2) AS total FROM clean_hourly
-    UNION ALL SELECT 'indoor_hourly_school', count(*), sum(pm02) FROM school_hourly
-    UNION ALL SELECT 'indoor_daily_24', count(*), sum(rco2_q25) FROM daily
-    UNION ALL SELECT 'indoor_daily_school', count(*), sum(pm02_median) FROM school_daily
-    UNION ALL SELECT 'ventilation', count(*), sum(pp) FROM rate
-    UNION ALL SELECT 'in_out_24', count(*), sum(km) FROM paired
-    UNION ALL SELECT 'in_out_school', count(*), sum(p.pm2_5) FROM school_hourly s JOIN paired p ON p.device_id = s.device_id AND p."DateTime" = s."DateTime"
-    UNION ALL SELECT 'ensemble_hourly_school', count(*), sum(rco2) FROM ens_school
-    UNION ALL SELECT 'ensemble_hourly_24', count(*), sum(rco2) FROM ens
-    UNION ALL SELECT 'ensemble_daily_school', count(*), sum(co2) FROM (SELECT avg(r."CO2") AS co2 FROM school_daily d LEFT JOIN rate r
-        ON r.device_id = d.device_id AND r."Date" = d."Date" GROUP BY d."Date")
-    UNION ALL SELECT 'ensemble_daily_24', count(*), sum(a) FROM (SELECT avg(atmp_mean) AS a FROM daily GROUP BY "Date")""",
-)
+@query("month_tables", "name:s column:s n:i filled:i total:f", f"WITH {_JOB} {_sql_totals(_MONTH_TABLES)}")
 def month_tables(t: Tables):
-    results = reports.month_tables(t.readings(), t.outdoor_located(), _dimensions(t), RULES)
-    return _totals(results, {
-        "indoor_hourly_24": "rco2", "indoor_hourly_school": "pm02", "indoor_daily_24": "rco2_q25", "indoor_daily_school": "pm02_median",
-        "ventilation": "pp_ventilation", "in_out_24": "km_distance_to_station", "in_out_school": "pm2_5",
-        "ensemble_hourly_school": "rco2", "ensemble_hourly_24": "rco2", "ensemble_daily_school": "CO2", "ensemble_daily_24": "atmp",
-    })
+    """Every numeric column of all eleven tables."""
+    return _totals(reports.month_tables(t.readings(), t.outdoor_located(), _dimensions(t), RULES))
 
 
-@query(
-    "period_tables", "name:s n:i total:f",
-    _CLEAN_HOURLY.replace("{source}", "clean_hourly") + """
-    SELECT 'ventilation' AS name, count(*) AS n, sum(pp) AS total FROM rate WHERE device_id IN (SELECT device_id FROM sites WHERE MonitoringType = 1)
-    UNION ALL SELECT 'ensemble_minutes_24', count(*), sum(q) FROM (SELECT quantile_cont(rco2, 0.75) AS q FROM minutes GROUP BY "DateTime")
-    UNION ALL SELECT 'ensemble_minutes_school', count(*), sum(q) FROM (SELECT quantile_cont(pm02, 0.25) AS q FROM school_minutes GROUP BY "DateTime")
-    UNION ALL SELECT 'ensemble_hourly_24', count(*), sum(q) FROM (SELECT quantile_cont(rco2, 0.5) AS q FROM clean_hourly GROUP BY "DateTime")
-    UNION ALL SELECT 'ensemble_hourly_school', count(*), sum(q) FROM (SELECT quantile_cont(atmp, 0.5) AS q FROM school_hourly GROUP BY "DateTime")
-    UNION ALL SELECT 'ensemble_daily_24', count(*), sum(q) FROM (SELECT quantile_cont(pm02_mean, 0.25) AS q FROM daily GROUP BY "Date")
-    UNION ALL SELECT 'ensemble_daily_school', count(*), sum(q) FROM (SELECT quantile_cont(rco2_mean, 0.75) AS q FROM school_daily GROUP BY "Date")
-    UNION ALL SELECT 'in_out_24', count(*), sum(pm2_5) FROM paired""",
-)
+@query("period_tables", "name:s column:s n:i filled:i total:f", f"WITH {_JOB} {_sql_totals(_PERIOD_TABLES)}")
 def period_tables(t: Tables):
+    """Every numeric column of all fourteen tables."""
     single = L.devices_of_type(_schools(t), _school_devices(t), 1)
-    results = reports.period_tables(t.readings(), t.outdoor_located(), _dimensions(t), single, RULES)
-    return _totals(results, {
-        "ventilation": "pp_ventilation", "ensemble_minutes_24": "rco2_q75", "ensemble_minutes_school": "pm02_q25",
-        "ensemble_hourly_24": "rco2_median", "ensemble_hourly_school": "atmp_median", "ensemble_daily_24": "pm02_q25",
-        "ensemble_daily_school": "rco2_q75", "in_out_24": "pm2_5",
-    })
+    return _totals(reports.period_tables(t.readings(), t.outdoor_located(), _dimensions(t), single, RULES))
+
+
+class MovedTables(Tables):
+    """The tables with the events dealt over four months."""
+
+    def table(self, name: str) -> DataFrame:
+        df = super().table(name)
+        if name != "events":
+            return df
+        return df.withColumn("ts", F.col("ts") + F.make_dt_interval((F.col("event_id") % 4 * 31).cast("int")))
+
+
+@query(
+    "months_run", "name:s column:s n:i filled:i total:f",
+    # A table of this name hides the given one from all views below.
+    f"""SELECT * FROM (WITH events AS MATERIALIZED (SELECT * REPLACE (ts + to_days(CAST(event_id % 4 * 31 AS INTEGER)) AS ts) FROM events),
+        {{views}}, {_JOB} {_sql_totals({n: (f'(SELECT * FROM {x} WHERE CAST("{d}" AS DATE) < DATE %s)' % "'2024-04-01'", c) for n, (x, c) in _MONTH_TABLES.items()
+        for d in ["Date" if n in ("indoor_daily_24", "indoor_daily_school", "ventilation", "ensemble_daily_school", "ensemble_daily_24") else "DateTime"]})})""",
+)
+def months_run(t: Tables):
+    """Three months run and loaded again, of readings and outdoor data of four months and more."""
+    moved, root = MovedTables(t.spark, t.folder), scratch_path(t.spark, "run")
+
+    def series_of(start: date, stop: date) -> DataFrame:
+        return series.in_range(moved.readings(), str(start), str(stop), time="DateTime")
+
+    months = [date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)]
+    reports.run_months(t.spark, root, months[:1], series_of, moved.outdoor_located(), _dimensions(t), RULES)
+    assert reports.run_months(t.spark, root, months, series_of, moved.outdoor_located(), _dimensions(t), RULES) == months[1:]
+    return _totals({name: df.drop("year", "month") for name, df in reports.load_months(t.spark, root, list(_MONTH_TABLES)).items()})

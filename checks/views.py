@@ -167,6 +167,8 @@ def with_views(sql: str) -> str:
     if not needed:
         return sql
     ctes = ", ".join(f"{name} AS ({VIEWS[name]})" for name in needed)
+    if "{views}" in sql:
+        return sql.replace("{views}", ctes)
     if sql.lstrip().upper().startswith("WITH "):
         return f"WITH {ctes}, {sql.lstrip()[5:]}"
     return f"WITH {ctes} {sql}"
