@@ -50,6 +50,15 @@ def _remove(spark: SparkSession, paths: list[str]) -> int:
     return removed
 
 
+def release(*tables: DataFrame) -> int:
+    """Remove staged tables that nothing unwritten reads any more; tables without files stay."""
+    removed = 0
+    for table in tables:
+        for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()[:1]}:
+            removed += _remove(table.sparkSession, [path])
+    return removed
+
+
 def release_staged(spark: SparkSession) -> int:
     """Remove the tables staged outside any ``staged_within`` block."""
     return _remove(spark, _staged)

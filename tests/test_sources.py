@@ -133,3 +133,9 @@ def test_staged_folders_are_pruned(spark):
     table = staging.stage(spark.range(100).withColumn("part", F.col("id") % 4), "parts", by=["part"])
     one = table.where("part = 2")
     assert one.count() == 25 and "PartitionFilters: [isnotnull(part" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_release_of_single_tables(spark):
+    kept, gone = staging.stage(spark.range(5), "kept"), staging.stage(spark.range(6), "gone")
+    path = gone.inputFiles()[0].rsplit("/", 1)[0]
+    assert staging.release(gone) == 1 and not outputs._exists(spark, path) and kept.count() == 5
