@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airq.llm.common import mix
-from airq.sources.staging import stage
+from airq.sources.staging import release, stage
 
 LENGTH, GRAMS = 400, (192, 384)
 #: Bytes hashed at once inside a task; longer texts are cut, and pieces end there.
@@ -308,7 +308,9 @@ def repeats(texts: DataFrame, length: int = LENGTH, grams: tuple[int, ...] = GRA
     pieces = find_pieces(texts, length, grams[0])
     each = pieces.select("c1", "c2", "weight", F.inline("pieces"))
     shared = each.groupBy("key").agg(F.sum("weight").alias("all")).where(F.col("all") > 1).select("key")
-    held = stage(each.join(stage(shared, "shared"), "key"), "held")
+    shared = stage(shared, "shared")
+    held = stage(each.join(shared, "key"), "held")
+    release(pieces, shared)
     variants = stage(held.groupBy("key", "d1", "d2").agg(F.least(F.sum("weight"), F.lit(2)).alias("n"), *[F.first(c).alias(c) for c in ("c1", "c2", "start", "size", "place")]), "variants")
     mixed = variants.groupBy("key").agg(F.count("*").alias("v"), F.min("n").alias("least")).where((F.col("v") > 1) & (F.col("least") == 1)).select("key")
     mixed = stage(variants.join(mixed, "key"), "mixed")
