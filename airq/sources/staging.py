@@ -2,11 +2,14 @@
 
 A staged table cuts the lineage, survives the loss of executors, keeps column
 pruning for its readers and tells Spark its true size, so that the optimizer's
-own broadcast threshold decides about later joins.
+own broadcast threshold decides about later joins. Once it is written nothing
+reads the shuffles that made it, so Spark removes their files there and then
+instead of keeping them until the driver collects its garbage.
 """
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
@@ -17,6 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 #: Tables staged outside any block; each block and thread of its own has its own list.
 _staged: list[str] = []
 _inside: ContextVar[list[str] | None] = ContextVar("staged_inside", default=None)
+#: Spark's setting to remove an execution's shuffle files when it ends, and how many blocks of a session want it.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_wanted: dict[str, tuple[int, str | None]] = {}
+_lock = threading.Lock()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,11 +39,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/airq/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Executions of the block leave no shuffle files; the setting is as before when the last block of the session ends."""
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        blocks, before = _wanted.get(session, (0, spark.conf.get(CLEANUP, None)))
+        _wanted[session] = (blocks + 1, before)
+        spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            blocks, before = _wanted.pop(session)
+            if blocks > 1:
+                _wanted[session] = (blocks - 1, before)
+            elif before is None:
+                spark.conf.unset(CLEANUP)
+            else:
+                spark.conf.set(CLEANUP, before)
+
+
 def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once and return a reader of the written table; filters on the columns ``by`` prune its folders."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
     inside = _inside.get()
     (_staged if inside is None else inside).append(path)
     return spark.read.schema(df.schema).parquet(path)

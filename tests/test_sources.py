@@ -139,3 +139,13 @@ def test_release_of_single_tables(spark):
     kept, gone = staging.stage(spark.range(5), "kept"), staging.stage(spark.range(6), "gone")
     path = gone.inputFiles()[0].rsplit("/", 1)[0]
     assert staging.release(gone) == 1 and not outputs._exists(spark, path) and kept.count() == 5
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    before = spark.conf.get(staging.CLEANUP, None)
+    grouped = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with staging.shuffles_removed(spark):
+        staged = staging.stage(grouped, "grouped")
+        assert spark.conf.get(staging.CLEANUP) == "true"  # an inner block does not end the outer one's
+    assert spark.conf.get(staging.CLEANUP, None) == before
+    assert sorted(staged.collect()) == sorted(grouped.collect())  # a table read again is made again
