@@ -1,4 +1,4 @@
-"""Repeated passages, found by winnowing over line hashes and compared by their windows of words.
+"""Repeated passages, found by winnowing over line hashes; matches are extended both ways from the fingerprints.
 
 A text is wrapped into short lines: a line ends after a word whose hash is odd,
 or else after three words, so a passage wraps alike wherever it stands, also
@@ -6,10 +6,13 @@ when it begins in the middle of a line or a break stands elsewhere in it. Every
 every ``WINDOW`` such hashes in a row the smallest is a fingerprint. A passage of
 ``GRAM + WINDOW - 1`` whole lines that occurs twice therefore has a fingerprint
 in common in both places. So a window of ``least_words`` words cannot stand elsewhere
-if a fingerprint that all its copies must have is there only once. Of all other
-windows, in the texts with a repeated fingerprint, the first place in the corpus
-is found by hash; every later place is deleted. The places of a window are thus
-compared with each other whoever else holds a part of it.
+if a fingerprint that all its copies must have is there only once.
+
+Each of the other windows belongs to the first fingerprint that all its copies must have; the windows of one
+place of a fingerprint, as far as they go left and right of it, are its run. The places of a fingerprint meet: those with
+equal runs are alike in all their windows, so that all but the first are repeats. Only where a fingerprint
+has unlike runs are the windows of the first place of each run compared, by hash, and the first place of each window is kept.
+The places of a window are thus compared with each other whoever else holds a part of it.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airq.llm.common import chunks, mix
-from airq.sources.staging import stage
+from airq.sources.staging import release, stage
 
 GRAM, WINDOW, LONGEST = 6, 10, 3
 LEAST_WORDS = 50
@@ -161,11 +164,13 @@ def spanned(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def windows_of(texts: list, again: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """Windows of ``least`` words that may stand elsewhere: text, number of the first word, hash, first code point, end.
+    """Windows of ``least`` words that may stand elsewhere, in order, and which of them begin a run.
 
-    ``again`` has the repeated fingerprints. A line that begins after an odd word of the window begins there in
-    every copy, and so do the lines after it; the fingerprint of such lines that end in the window is in
-    every copy too. If it is not repeated, nor is the window.
+    Of each window: text, number of the first word, hash, first code point, end; of each run: number of its first
+    window, fingerprint. ``again`` has the repeated fingerprints. A line that begins after an odd word of the
+    window begins there in every copy, and so do the lines after it; the fingerprint of such lines that end in
+    the window is in every copy too. If it is not repeated, nor is the window. A window without such lines
+    is a run of its own, with its hash in place of the fingerprint.
     """
     raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
     joined = b"\n".join(raw)
@@ -173,29 +178,51 @@ def windows_of(texts: list, again: np.ndarray, least: int) -> tuple[np.ndarray,
     byte_ends = np.cumsum([len(r) + 1 for r in raw])
     owner = np.searchsorted(byte_ends, starts, "right")
     sizes = np.bincount(owner, minlength=len(raw))
-    many = len(hashes) - least + 1
+    many, none = len(hashes) - least + 1, np.empty(0, np.int64)
     if many <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return none, none, none, none, none, none, none
     value, of, at, line, end = grams(hashes, sizes)
     first, chosen = winnowed(value, of)
-    once = ~np.isin(value[chosen].view(np.int64), again)
-    begin, line, end = at[first[once]], line[first[once] + WINDOW - 1], end[first[once] + WINDOW - 1]
+    begin, line, end = at[first], line[first + WINDOW - 1], end[first + WINDOW - 1]
     # A line that only its text's end cuts short may go on in a copy.
     whole = ((hashes[end - 1] & np.uint64(1)) == 1) | (end - line == LONGEST)
-    begin, end = begin[whole], end[whole]
     odd = np.flatnonzero(hashes & np.uint64(1))
     before = np.searchsorted(odd, begin)  # odd words before the lines
-    begin, end, before = begin[before > 0], end[before > 0], before[before > 0]
+    whole &= before > 0
+    end, before, value = end[whole], before[whole], value[chosen[whole]]
     low, high = np.maximum(end - least, 0), odd[before - 1] + 1
-    low, high = low[low < high], high[low < high]
-    alone = np.cumsum(np.bincount(low, minlength=len(hashes) + 1) - np.bincount(high, minlength=len(hashes) + 1))[:many] > 0
+    fits = low < high
+    low, high, value, place = low[fits], high[fits], value[fits].view(np.int64), chosen[whole][fits]
+    once = ~np.isin(value, again)
+    alone = np.cumsum(np.bincount(low[once], minlength=len(hashes) + 1) - np.bincount(high[once], minlength=len(hashes) + 1))[:many] > 0
     kept = np.flatnonzero((owner[:many] == owner[least - 1 :]) & ~alone)
+    if not len(kept):
+        return none, none, none, none, none, none, none
+    key = spanned(hashes, least)[kept].view(np.int64)
+    # Lines further on come later and end later, so the first that begin late enough are the first that fit.
+    mine, print_ = -1 - kept, key.copy()
+    if len(high):
+        nth = np.minimum(np.searchsorted(high, kept, "right"), len(high) - 1)
+        has = (low[nth] <= kept) & (kept < high[nth])
+        mine[has], print_[has] = place[nth[has]], value[nth[has]]
+    runs = np.flatnonzero(np.concatenate(([True], (mine[1:] != mine[:-1]) | (np.diff(kept) != 1))))
     of = owner[kept]
     lead = (np.frombuffer(joined, np.uint8) & 0xC0) != 0x80
     points = np.concatenate(([0], np.cumsum(lead)))
     text_start = points[byte_ends - [len(r) + 1 for r in raw]]
     word_start = np.cumsum(sizes) - sizes
-    return of, kept - word_start[of], spanned(hashes, least)[kept].view(np.int64), points[starts[kept]] - text_start[of], points[ends[kept + least - 1]] - text_start[of]
+    return of, kept - word_start[of], key, points[starts[kept]] - text_start[of], points[ends[kept + least - 1]] - text_start[of], runs, print_[runs]
+
+
+def lists(values: np.ndarray, of: np.ndarray, many: int, kind: pa.DataType) -> pa.Array:
+    """One list per text of the values, which stand in the order of their texts ``of``."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(of, minlength=many)))), pa.int32()), pa.array(values, kind))
+
+
+def ints(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
+    """A list of a row as an array, empty if it is null."""
+    value = batch[name][i]
+    return value.values.to_numpy(zero_copy_only=False) if value.is_valid else np.empty(0, np.int64)
 
 
 def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -206,42 +233,80 @@ def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     end of the last word, do not overlap and are in order.
     """
     prints = occurrences(docs)
-    each = prints.select("doc_id", "text_hash", F.explode("prints").alias("print"))
+    # A row by one hash: rows that share it would only see each other's repeated fingerprints.
+    row = F.xxhash64("doc_id", "text_hash").alias("row")
+    each = prints.select(row, F.explode("prints").alias("print"))
     again = stage(each.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"), "again")
-    matched = each.join(again, "print").groupBy("doc_id", "text_hash").agg(F.collect_set("print").alias("prints"))
+    # Each fingerprint is there once, so its table is hashed and the long side is not sorted.
+    matched = each.join(again.hint("shuffle_hash"), "print").groupBy("row").agg(F.collect_set("print").alias("prints"))
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    names = ["at", "key", "start", "end"]
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, prints = batch["text"].to_pylist(), batch["prints"]
             for a, b in chunks(texts):
-                of, *columns = windows_of(texts[a:b], np.unique(prints[a:b].flatten().to_numpy(zero_copy_only=False)), least_words)
-                sizes = pa.array(np.concatenate(([0], np.cumsum(np.bincount(of, minlength=b - a)))), pa.int32())
-                lists = [pa.ListArray.from_arrays(sizes, pa.array(c, pa.int64() if n == "key" else pa.int32())) for n, c in zip(names, columns)]
-                yield pa.RecordBatch.from_arrays([batch["doc_id"][a:b], batch["text_hash"][a:b], *lists], ["doc_id", "text_hash", *names])
-
-    looked = matched.join(texts, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "prints", "text")
-    looked = looked.mapInArrow(look, "doc_id long, text_hash long, at array<int>, key array<long>, start array<int>, end array<int>").where(F.size("at") > 0)
-    windows = stage(looked, "windows")
-    places = windows.select("doc_id", "text_hash", F.explode(F.arrays_zip("key", "at")).alias("w")).select("w.key", F.struct("doc_id", "text_hash", "w.at").alias("place"))
-    # The least place of a window merges before the shuffle, and only its document hears of it: no join by window.
+                of, at, key, start, end, runs, print_ = windows_of(texts[a:b], np.unique(prints[a:b].flatten().to_numpy(zero_copy_only=False)), least_words)
+                many, sizes = b - a, np.diff(np.append(runs, len(of)))
+                whole = mix(np.add.reduceat(mix(key.view(np.uint64)), runs) + sizes.astype(np.uint64)).view(np.int64) if len(runs) else runs
+                step = np.diff(start, prepend=0)
+                new = np.flatnonzero(np.diff(of, prepend=-1))
+                step[new] = start[new]
+                columns = [lists(c, of[runs], many, k) for c, k in ((print_, pa.int64()), (whole, pa.int64()), (at[runs], pa.int32()), (sizes, pa.int32()))]
+                columns += [lists(c, of, many, k) for c, k in ((key, pa.int64()), (step, pa.int32()), (end - start, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([batch["doc_id"][a:b], batch["text_hash"][a:b], *columns], ["doc_id", "text_hash", "print", "run", "at", "n", "key", "step", "width"])
+
+    looked = texts.withColumn("row", row).join(matched, "row").select("doc_id", "text_hash", "prints", "text")
+    shape = "doc_id long, text_hash long, print array<long>, run array<long>, at array<int>, n array<int>, key array<long>, step array<int>, width array<int>"
+    windows = stage(looked.mapInArrow(look, shape).where(F.size("at") > 0), "windows")
+    release(prints, again)
+    # The places of a fingerprint with equal runs: the least merges before the shuffle, and only its document hears of it.
+    places = windows.select("doc_id", "text_hash", F.explode(F.arrays_zip("print", "run", "at")).alias("r"))
+    places = places.select("r.print", "r.run", F.struct("doc_id", "text_hash", "r.at").alias("place"))
+    alike = stage(places.groupBy("print", "run").agg(F.min("place").alias("f")).select("print", "f.*"), "alike")
+    unlike = alike.groupBy("print").agg(F.count("*").alias("runs")).where("runs > 1").select("print", F.lit(True).alias("open"))
+    firsts = alike.join(unlike.hint("shuffle_hash"), "print", "left").groupBy("doc_id", "text_hash")
+    firsts = firsts.agg(F.collect_list("at").alias("firsts"), F.collect_list(F.when(F.col("open"), F.col("at"))).alias("open"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Later runs as pieces: first and last window's word, first code point, end; of unlike runs all windows."""
+        for batch in batches:
+            pieces, windows = [], []
+            for i in range(batch.num_rows):
+                at, n, step, width, key, known, open_ = (ints(batch, c, i) for c in ("at", "n", "step", "width", "key", "firsts", "open"))
+                at, start = at.astype(np.int64), np.cumsum(step, dtype=np.int64)
+                end, first = start + width, np.cumsum(n) - n
+                later, last = ~np.isin(at, known), first + n - 1
+                pieces.append(np.array([at, at + n - 1, start[first], end[last]])[:, later])
+                chosen = np.flatnonzero(np.repeat(np.isin(at, open_), n))
+                word = np.repeat(at - first, n)[chosen] + chosen
+                windows.append(np.array([word, key[chosen], start[chosen], end[chosen]], np.int64))
+            of = [np.repeat(np.arange(batch.num_rows), [x.shape[1] for x in xs]) for xs in (pieces, windows)]
+            columns = [lists(c, o, batch.num_rows, pa.int64()) for xs, o in zip((pieces, windows), of) for c in (np.concatenate(xs, 1) if xs else np.empty((4, 0), np.int64))]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_hash"], *columns], ["doc_id", "text_hash", *judged_names])
+
+    judged_names = ["from", "to", "from_at", "to_at", "at", "key", "start", "end"]
+    judged = windows.drop("print", "run").join(firsts, ["doc_id", "text_hash"], "left")
+    judged = judged.mapInArrow(judge, "doc_id long, text_hash long, " + ", ".join(f"`{c}` array<long>" for c in judged_names))
+    judged = stage(judged.where((F.size("from") > 0) | (F.size("at") > 0)), "judged")
+    release(windows, alike)
+    places = judged.select("doc_id", "text_hash", F.explode(F.arrays_zip("key", "at")).alias("w")).select("w.key", F.struct("doc_id", "text_hash", "w.at").alias("place"))
     firsts = places.groupBy("key").agg(F.min("place").alias("f")).groupBy("f.doc_id", "f.text_hash").agg(F.collect_list("f.at").alias("firsts"))
-    known = windows.drop("key").join(firsts, ["doc_id", "text_hash"], "left").select("doc_id", "text_hash", "at", "start", "end", "firsts")
+    known = judged.drop("key").join(firsts, ["doc_id", "text_hash"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for i in range(batch.num_rows):
-                at, start, end, firsts = (np.array(batch[c][i].values if batch[c][i].is_valid else [], np.int64) for c in ("at", "start", "end", "firsts"))
+                first, last, start, end, at, begin, finish, firsts = (ints(batch, c, i) for c in ("from", "to", "from_at", "to_at", "at", "start", "end", "firsts"))
                 later = ~np.isin(at, firsts)
-                at, start, end = at[later], start[later], end[later]
-                if not len(at):
+                pieces = np.concatenate((np.array([first, last, start, end], np.int64), np.array([at, at, begin, finish], np.int64)[:, later]), 1)
+                if not pieces.shape[1]:
                     continue
-                cut = np.flatnonzero(np.diff(at) > least_words)
-                heads, tails = np.concatenate(([0], cut + 1)), np.append(cut, len(at) - 1)
+                first, last, start, end = pieces[:, np.argsort(pieces[0], kind="stable")]
+                cut = np.flatnonzero(first[1:] - last[:-1] > least_words)
+                heads, tails = np.concatenate(([0], cut + 1)), np.append(cut, len(first) - 1)
                 spans = [{"start": x, "end": y} for x, y in zip(start[heads].tolist(), end[tails].tolist())]
-                out.append((batch["doc_id"][i].as_py(), batch["text_hash"][i].as_py(), spans, int((at[tails] + least_words - at[heads]).sum())))
+                out.append((batch["doc_id"][i].as_py(), batch["text_hash"][i].as_py(), spans, int((last[tails] + least_words - first[heads]).sum())))
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, kinds)], ["doc_id", "text_hash", "spans", "words"])
 
