@@ -18,6 +18,7 @@ The places of a window are thus compared with each other whoever else holds a pa
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,19 @@ LEAST_WORDS = 50
 LAST = (1 << 63) - 1
 
 
-#: Bytes hashed at once; bounds a worker's memory.
-SEGMENT = 4_000_000
+#: Characters of texts handled at once and bytes hashed at once; they bound a worker's memory.
+CHUNK, SEGMENT = 250_000, 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+#: A number for each byte, none for white space; a byte's place multiplies it by a power of ``_STEP``.
+_BYTE = np.where(_SPACE, np.uint64(0), mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _STEP))
+_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
+
+
+@lru_cache(1)
+def powers(many: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``_STEP`` and of its inverse, modulo 2^64, from the first on."""
+    return np.multiply.accumulate(np.full(many, _STEP)), np.multiply.accumulate(np.full(many, _BACK))
 
 
 def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,16 +58,15 @@ def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             cut = max(raw.rfind(b" ", at, at + SEGMENT), raw.rfind(b"\n", at, at + SEGMENT))
             end = cut + 1 if cut >= at else min((i for i in (raw.find(b" ", at), raw.find(b"\n", at)) if i >= 0), default=end - 1) + 1
         buffer = np.frombuffer(raw, np.uint8, end - at, at)
-        space = (buffer == 32) | ((buffer >= 9) & (buffer <= 13))
+        space = _SPACE[buffer]
         edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
         starts, ends = edge[::2], edge[1::2]
         if len(starts):
-            # A word's hash: the sum of its bytes, each mixed with its place in the word.
-            first = np.zeros(len(buffer), np.int64)
-            first[starts] = np.diff(starts, prepend=0)
-            place = (np.arange(len(buffer)) - np.cumsum(first) + 1).astype(np.uint64)
-            value = np.where(space, np.uint64(0), mix(buffer + place * _STEP))
-            found.append((mix(np.add.reduceat(value, starts)), starts + at, ends + at))
+            # A word's hash: the sum of its bytes' numbers by their places in the segment, moved back to the segment's beginning.
+            power, back = powers(1 << max(SEGMENT, len(buffer) - 1).bit_length())
+            value = _BYTE[buffer]
+            value *= power[: len(buffer)]
+            found.append((mix(np.add.reduceat(value, starts) * back[starts]), starts + at, ends + at))
         at = end
     if not found:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
@@ -138,7 +148,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch["text"].to_pylist()
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK):
                 values, counts = prints_of(texts[a:b])
                 sizes = np.concatenate(([0], np.cumsum(counts)))
                 yield pa.RecordBatch.from_arrays(
@@ -244,7 +254,7 @@ def removals(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, prints = batch["text"].to_pylist(), batch["prints"]
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK):
                 of, at, key, start, end, runs, print_ = windows_of(texts[a:b], np.unique(prints[a:b].flatten().to_numpy(zero_copy_only=False)), least_words)
                 many, sizes = b - a, np.diff(np.append(runs, len(of)))
                 whole = mix(np.add.reduceat(mix(key.view(np.uint64)), runs) + sizes.astype(np.uint64)).view(np.int64) if len(runs) else runs
