@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,18 +18,37 @@ from airq.functions.aggregates import single_valued
 from airq.operators.align import union_aligned
 
 
+#: Rows with a missing key meet those of the table in so many parts.
+PARTS = 16
+#: Joins that give no row of the table on its own, so that its rows may stand in several parts.
+_SPREAD = {"left", "leftouter", "left_outer", "inner", "semi", "leftsemi", "left_semi", "anti", "leftanti", "left_anti"}
+
+
 def lookup(df: DataFrame, table: DataFrame, on: Mapping[str, str] | Sequence[str], null_safe: bool = True, how: str = "left") -> DataFrame:
     """Join ``table`` by differently named keys; missing keys match missing keys.
 
     ``on`` maps columns of ``df`` to columns of ``table``; the keys of
-    ``table`` are dropped.
+    ``table`` are dropped. Missing keys are often many and would all meet in
+    one task: rows of ``df`` that lack a key are dealt to ``PARTS`` parts by
+    their values, and the rows of ``table`` that lack one stand in each part.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
     renamed = table.withColumnsRenamed({k: f"_k_{k}" for k in pairs.values()})
+    keys = [f"_k_{b}" for b in pairs.values()]
+    if null_safe and how in _SPREAD and any(table.schema[b].nullable and df.schema[a].nullable for a, b in pairs.items()):
+        values = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+        df = df.withColumn("_lookup_part", F.when(_lacks(pairs), F.pmod(F.xxhash64(*values), F.lit(PARTS)).cast("int")).otherwise(0))
+        parts = F.when(_lacks(keys), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+        renamed, keys = renamed.withColumn("_k__lookup_part", F.explode(parts)), [*keys, "_k__lookup_part"]
     equal = [
-        df[a].eqNullSafe(renamed[f"_k_{b}"]) if null_safe else df[a] == renamed[f"_k_{b}"] for a, b in pairs.items()
+        df[a].eqNullSafe(renamed[k]) if null_safe and a != "_lookup_part" else df[a] == renamed[k]
+        for a, k in zip([*pairs, "_lookup_part"], keys)
     ]
-    return df.join(renamed, reduce(and_, equal), how).drop(*[f"_k_{b}" for b in pairs.values()])
+    return df.join(renamed, reduce(and_, equal), how).drop("_lookup_part", *keys)
+
+
+def _lacks(keys) -> Column:
+    return reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
 
 
 def natural_join(left: DataFrame, right: DataFrame, how: str = "left", null_safe: bool = True) -> DataFrame:

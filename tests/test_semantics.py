@@ -275,3 +275,20 @@ def test_ratios_drop_zero_and_missing(spark):
     assert values(S.annual_ratio(df, 2024), "SchoolId_short", "io_ratio") == [(1, 2.0)]
     assert values(S.seasonal_ratio(df, 2024), "SchoolId_short", "Season") == [(1, "Spring")]
     assert S.annual_ratio(df, 2023).count() == 0
+
+
+def test_missing_keys_are_spread(spark):
+    """Missing keys on both sides: the rows of a plain null-safe join, and no task of the larger side holds all of them."""
+    rows = [(None if i % 3 else f"k{i % 5}", i % 4 or None, i) for i in range(600)]
+    table = [(None, 1, "n1"), (None, None, "nn"), ("k1", None, "1n"), ("k1", 1, "11"), (None, 1, "again"), ("k9", 9, "none")]
+    df = spark.createDataFrame(rows, "a string, b int, i int")
+    ref = spark.createDataFrame(table, "a string, b int, label string")
+    for how in ("left", "inner", "left_semi", "left_anti", "full"):
+        plain = df.join(ref.withColumnsRenamed({"a": "x", "b": "y"}), F.expr("a <=> x AND b <=> y"), how).drop("x", "y")
+        got = L.lookup(df, ref, ["a", "b"], how=how)
+        assert got.columns == plain.columns and sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+    values = F.pmod(F.xxhash64("a", "b", "i"), F.lit(L.PARTS))
+    parts = df.where("a IS NULL").groupBy(values).count().collect()
+    assert len(parts) == L.PARTS and max(r["count"] for r in parts) < 100
+    empty = L.lookup(df.limit(0), ref.limit(0), ["a"])
+    assert empty.count() == 0 and L.lookup(df, ref.limit(0), ["a"]).count() == 600
