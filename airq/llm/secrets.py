@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from itertools import product
-from re import _parser as parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,14 +43,16 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]{16,}"),
 )
+_BEGIN, _END = (rf"-----{word} [A-Z ]{{0,40}}PRIVATE KEY(?: BLOCK)?-----" for word in ("BEGIN", "END"))
 _LINE, _GAP = "[A-Za-z0-9+/]{16,}={0,2}", "[^A-Za-z0-9+/=-]"
-#: From its first line to the END line, whatever signs its lines are wrapped in; up to eight single hyphens may stand between
-#: (as in Proc-Type and DEK-Info). Without an END line to the last base64 character: up to 241 long lines and a short one,
-#: which is padded or fills its line. Counted repeats are no deeper than Java's stack and RE2's 1000.
+#: From its first line to the END line, whatever stands between but five hyphens. Without an END line over the lines with a
+#: name and a colon, then to the last base64 character: any number of long lines and a short one, which is padded or fills
+#: its line. Each loop can be passed through in one way only, so it never gives back what it took (``*+``), which keeps
+#: Java's stack flat; an engine without ``*+`` finds the same with ``*``.
 PEM = (
-    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-[^-]+){0,8}-----END [A-Z ]{0,40}PRIVATE KEY-----|"
-    rf"(?:{_GAP}{{0,8}}{_LINE})?" + rf"(?:{_GAP}{{1,8}}{_LINE}){{0,60}}" * 4
-    + rf"(?:{_GAP}{{1,8}}[A-Za-z0-9+/]{{1,15}}={{1,2}}|[\x20\x09\x0D]*\n[\x20\x09]*[A-Za-z0-9+/]{{1,15}}(?m:$))?)"
+    rf"{_BEGIN}(?:[^-]*+(?:-{{1,4}}[^-]+)*+{_END}|"
+    rf"(?:(?:[\x20\x09\x0D]*\n(?:[A-Za-z0-9-]{{1,15}}:[^\n]*\n)*+)?{_GAP}{{0,8}}{_LINE}(?:{_GAP}{{1,8}}{_LINE})*+"
+    rf"(?:{_GAP}{{1,8}}[A-Za-z0-9+/]{{1,15}}={{1,2}}|[\x20\x09\x0D]*\n[\x20\x09]*[A-Za-z0-9+/]{{1,15}}(?m:$))?)?)"
 )
 RULES = (*BASE, Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"), Rule("pem", PEM))
 
@@ -77,64 +78,147 @@ def both(a: Query, b: Query) -> Query:
     return shortest(frozenset(x | y for x, y in product(a, b)))
 
 
-def spelled(items) -> frozenset[str] | None:
-    """All strings, in lower case, that a parsed pattern matches, if they are few."""
-    found = {""}
-    for op, value in items:
-        name = str(op)
-        if name == "LITERAL":
-            part = {chr(value).lower()}
-        elif name == "SUBPATTERN":
-            part = spelled(value[3])
-        elif name == "BRANCH":
-            branches = [spelled(b) for b in value[1]]
-            part = None if None in branches else set().union(*branches)
-        elif name == "IN":
-            part = set()
-            for kind, x in value:
-                if str(kind) == "LITERAL":
-                    part.add(chr(x).lower())
-                elif str(kind) == "RANGE" and x[1] - x[0] < SPELLED:
-                    part |= {chr(c).lower() for c in range(x[0], x[1] + 1)}
-                else:
-                    return None
-            part = part if len(part) <= 8 else None
-        elif name in ("MAX_REPEAT", "MIN_REPEAT") and value[1] <= 8:
-            one = spelled(value[2])
-            if one is None or len(one) ** value[1] > SPELLED:
-                return None
-            part = set().union(*({"".join(p) for p in product(one, repeat=k)} for k in range(value[0], value[1] + 1)))
-        elif name == "AT":
-            continue
-        else:
-            part = None
-        if part is None or len(found) * len(part) > SPELLED:
+class Reader:
+    """Reads the patterns of rules into nodes: ("set", characters or None if many), ("cat", nodes), ("alt", nodes), ("rep", node, least, most).
+
+    It knows literals, classes, groups with or without flags, alternatives, repeats and ends of lines; letters
+    are lowered, as the texts are. Other signs after a backslash or ``(?`` raise ValueError.
+    """
+
+    def __init__(self, pattern: str):
+        self.pattern, self.at = pattern, 0
+
+    def next(self, wanted: str = "") -> str:
+        """The next sign, taken if it is among the wanted ones (any, if none are named)."""
+        c = self.pattern[self.at : self.at + 1]
+        if not c or (wanted and c not in wanted):
+            return ""
+        self.at += 1
+        return c
+
+    def whole(self):
+        node = self.alternatives()
+        if self.at < len(self.pattern):
+            raise ValueError(f"unread at {self.at}: {self.pattern}")
+        return node
+
+    def alternatives(self):
+        found = [self.sequence()]
+        while self.next("|"):
+            found.append(self.sequence())
+        return found[0] if len(found) == 1 else ("alt", found)
+
+    def sequence(self):
+        found = []
+        while self.pattern[self.at : self.at + 1] not in ("", "|", ")"):
+            found.append(self.repeated(self.single()))
+        return ("cat", found)
+
+    def single(self):
+        c = self.next()
+        if c == "(":
+            if self.next("?"):
+                while (flag := self.next()) != ":":
+                    if flag not in ("i", "m"):
+                        raise ValueError(f"unknown group at {self.at}: {self.pattern}")
+            node = self.alternatives()
+            if not self.next(")"):
+                raise ValueError(f"group without end: {self.pattern}")
+            return node
+        if c == "[":
+            return ("set", self.characters())
+        if c in "^$":
+            return ("cat", [])
+        if c == ".":
+            return ("set", None)
+        return ("set", {(self.escaped() if c == "\\" else c).lower()})
+
+    def escaped(self) -> str:
+        c = self.next()
+        if c == "x":
+            self.at += 2
+            return chr(int(self.pattern[self.at - 2 : self.at], 16))
+        if c in ("n", "r", "t"):
+            return {"n": "\n", "r": "\r", "t": "\t"}[c]
+        if not c or c.isalnum():
+            raise ValueError(f"unknown sign at {self.at}: {self.pattern}")
+        return c
+
+    def characters(self):
+        out, found, many = bool(self.next("^")), set(), False
+        first = True
+        while first or self.pattern[self.at : self.at + 1] != "]":
+            first = False
+            c = self.next()
+            if not c:
+                raise ValueError(f"class without end: {self.pattern}")
+            c = self.escaped() if c == "\\" else c
+            end = c
+            if self.pattern[self.at : self.at + 1] == "-" and self.pattern[self.at + 1 : self.at + 2] not in ("]", ""):
+                self.at += 1
+                end = self.next()
+                end = self.escaped() if end == "\\" else end
+            many |= ord(end) - ord(c) >= SPELLED
+            found |= {chr(x).lower() for x in range(ord(c), min(ord(end), ord(c) + SPELLED) + 1)}
+        self.at += 1
+        return None if out or many or len(found) > 8 else found
+
+    def repeated(self, node):
+        while c := self.next("?*+{"):
+            least, most = {"?": (0, 1), "*": (0, None), "+": (1, None)}.get(c, (0, None))
+            if c == "{":
+                to = self.pattern.index("}", self.at)
+                a, comma, b = self.pattern[self.at : to].partition(",")
+                least, most = int(a), (int(b) if b else None) if comma else int(a)
+                self.at = to + 1
+            self.next("?+")  # whether it gives back does not change what is mandatory
+            node = ("rep", node, least, most)
+        return node
+
+
+def spelled(node) -> frozenset[str] | None:
+    """All strings, in lower case, that a node matches, if they are few."""
+    kind, value = node[0], node[1]
+    if kind == "set":
+        return None if value is None else frozenset(value)
+    if kind == "alt":
+        branches = [spelled(b) for b in value]
+        found = None if None in branches else frozenset().union(*branches)
+        return found if found is not None and len(found) <= SPELLED else None
+    if kind == "rep":
+        _, one, least, most = node
+        one = spelled(one) if most is not None and most <= 8 else None
+        if one is None or len(one) ** most > SPELLED:
+            return None
+        return frozenset("".join(p) for k in range(least, most + 1) for p in product(one, repeat=k))
+    found = frozenset([""])
+    for part in value:
+        strings = spelled(part)
+        if strings is None or len(found) * len(strings) > SPELLED:
             return None
-        found = {a + b for a, b in product(found, part)}
-    return frozenset(found)
+        found = frozenset(a + b for a, b in product(found, strings))
+    return found
 
 
 def required(pattern: str) -> Query:
     """The Boolean trigram query of a pattern: any lowered text that matches satisfies one alternative."""
-    return of_items(parser.parse(pattern))
+    return of_node(Reader(pattern).whole())
 
 
-def of_items(items) -> Query:
+def of_node(node) -> Query:
+    if node[0] == "alt":
+        return shortest(frozenset().union(*map(of_node, node[1])))
+    if node[0] == "rep":
+        return of_node(node[1]) if node[2] >= 1 else ANY
     query, run = ANY, frozenset([""])
-    for item in items:
-        strings = spelled([item])
+    for part in node[1] if node[0] == "cat" else [node]:
+        strings = spelled(part)
         if strings is not None and len(run) * len(strings) <= SPELLED:
             run = frozenset(a + b for a, b in product(run, strings))
             continue
         query, run = both(query, trigrams(run)), strings if strings is not None else frozenset([""])
-        if strings is None:
-            op, value = str(item[0]), item[1]
-            if op == "SUBPATTERN":
-                query = both(query, of_items(value[3]))
-            elif op == "BRANCH":
-                query = both(query, shortest(frozenset().union(*(of_items(b) for b in value[1]))))
-            elif op in ("MAX_REPEAT", "MIN_REPEAT") and value[0] >= 1:
-                query = both(query, of_items(value[2]))
+        if strings is None and part[0] != "set":
+            query = both(query, of_node(part))
     return both(query, trigrams(run))
 
 
@@ -193,10 +277,9 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     are leftmost and do not overlap; those of different rules may. Null and empty texts have no spans.
     """
     looked = candidates(docs, rules).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    columns = docs.columns
-    row, k1, k2, part = fresh(docs, "row", "k1", "k2", "part")
-    keys = text_keys()
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text", keys[0], keys[1], F.pmod(F.xxhash64("doc_id", F.lit(0)), F.lit(PARTS)).cast("int").alias("part"))
+    others = [c for c in docs.columns if c != "text"]
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
+    packed = docs.select(row.alias("row"), "text", *text_keys(), F.pmod(F.xxhash64(row), F.lit(PARTS)).cast("int").alias("part"))
     joined = packed.join(looked, ["k1", "k2", "part"], "left").select("row", "text", "rules")
     each = []
     for i, rule in enumerate(rules):
@@ -204,8 +287,9 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         if required(rule.pattern) != ANY:
             look = F.array_contains("rules", i) & look
         each.append(F.when(look, F.expr(spans_of(i, rule))).otherwise(F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int>>)")))
-    found = joined.select("row", F.array_sort(F.flatten(F.array(*each))).alias("found"))
-    return found.select(*[F.col("row")[c].alias(c) for c in columns], "found")
+    found = joined.select("row", "text", F.array_sort(F.flatten(F.array(*each))).alias("found"))
+    place = {c: i for i, c in enumerate(others)}
+    return found.select(*[F.col("text") if c == "text" else F.col("row")[f"c{place[c]}"].alias(c) for c in docs.columns], "found")
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -214,14 +298,15 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     All rows stay, null texts too; texts without spans do not change.
     """
     columns = docs.columns
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row_"), "doc_id", "text")
+    marked = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns) if c != "text"]).alias("row_"), "text")
+    own = {c: F.col("row_")[f"c{i}"] for i, c in enumerate(columns) if c != "text"}
     masked = F.expr(f"""aggregate(found, named_struct('at', 0, 'out', ''), (acc, x) -> IF(x.start < acc.at AND acc.at > 0,
       named_struct('at', greatest(acc.at, x.end), 'out', acc.out),
       named_struct('at', x.end, 'out', concat(acc.out, substring(text, acc.at + 1, x.start - acc.at), '{MASK}'))),
       acc -> concat(acc.out, substring(text, acc.at + 1)))""")
     out = scan(marked, rules).withColumn("masked", F.when(F.size("found") > 0, masked).otherwise(F.col("text")))
-    new = {"text": F.col("masked"), "n_chars": F.when(F.size("found") > 0, F.char_length("masked").cast(dict(docs.dtypes).get("n_chars", "long"))).otherwise(F.col("row_")["n_chars"] if "n_chars" in columns else None)}
-    return out.select(*[(new[c] if c in new else F.col("row_")[c]).alias(c) for c in columns])
+    new = {"text": F.col("masked"), "n_chars": F.when(F.size("found") > 0, F.char_length("masked").cast(dict(docs.dtypes).get("n_chars", "long"))).otherwise(own.get("n_chars"))}
+    return out.select(*[(new[c] if c in new else own[c]).alias(c) for c in columns])
 
 
 def joined(found: str, where: str = "true") -> Column:
@@ -241,7 +326,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     parts = []
     for i, r in enumerate(RULES):
-        p = "'" + r.pattern.replace("'", "''") + "'"
+        p = "'" + r.pattern.replace("'", "''").replace("*+", "*") + "'"
         parts.append(f"""SELECT doc_id, text, {i} AS k, '{r.kind}' AS kind, regexp_split_to_array(text, {p}) AS g, regexp_extract_all(text, {p}) AS m,
       regexp_extract_all(text, {p}, {r.group}) AS v, {r.least} AS least FROM documents WHERE regexp_matches(text, {p})""")
     return f"""

@@ -165,6 +165,20 @@ def test_trigram_queries():
             if re.search(rule.pattern, text):
                 low = text.lower()
                 assert any(all(t in low for t in alternative) for alternative in query)
+    of = lambda *alternatives: frozenset(frozenset(a.split()) for a in alternatives)
+    assert secrets.required("abc[de]f+") == of("abc bcd", "abc bce") and secrets.required("(?i:KEY)x?|[^a]z") == secrets.ANY
+    assert secrets.required("(?:one|two)*+four") == of("fou our") and secrets.required(r"\x41\.B{2}[a-z]+(?:end|END)$") == of("a.b .bb end")
+    assert secrets.required("ab{0,1}c{3}") == of("acc ccc", "abc bcc ccc") and secrets.required("[]x-]yz") == of("]yz", "xyz", "-yz")
+    for unknown in (r"\dabc", "(?=abc)", "(abc", "[abc", "abc)"):
+        with pytest.raises(ValueError):
+            secrets.required(unknown)
+
+
+def test_scan_without_ids_and_with_clashing_columns(spark):
+    rows = spark.createDataFrame([(None, "k1 AKIA" + "C" * 16, 1, "x"), (None, None, 2, "y"), (None, "", 3, None)], "`row` string, text string, part int, `a.b` string")
+    got = sorted(secrets.scan(rows).collect(), key=lambda r: r["part"])
+    assert secrets.scan(rows).columns == [*rows.columns, "found"] and [len(r["found"]) for r in got] == [1, 0, 0] and [r["a.b"] for r in got] == ["x", "y", None]
+    assert sorted(r["text"] or "" for r in secrets.redact(rows).collect()) == ["", "", "k1 [SECRET]"]
 
 
 def test_secret_spans_and_masks(spark, docs, edge, empty):
@@ -187,18 +201,23 @@ def test_private_keys_are_masked_whole(spark, docs):
     begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
     encrypted = f"Proc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC,0123456789ABCDEF\n\n{body}\nab=="
     quoted = "\\n".join([begin, *body.split("\n"), line(9) + "==", end])
-    far = begin + ("\n" + line(76)) * 201
+    far = begin + ("\n" + line(76)) * 1000
+    many = "\n".join(f"A-{i}: x" for i in range(10))
+    block = [f"-----{word} PGP PRIVATE KEY BLOCK-----" for word in ("BEGIN", "END")]
+    armor = f"{block[0]}\nVersion: X v1.4.11 (Y/Z)\n\n{body}\n=aB3d"
     cases = [
         (f"é {begin}\n{body}\n{line(20)}=\n{end}\nnext", "é [SECRET]\nnext"), (f"{begin}\n{encrypted}\n{end} x", "[SECRET] x"),
         (f'k = "{quoted}"', 'k = "[SECRET]"'), (f"{begin}\r\n" + body.replace("\n", "\r\n") + f"\r\n{end}\r\n", "[SECRET]\r\n"),
         (f"a {begin}\n{body}\n{line(7)}", "a [SECRET]"), (f"{begin}\n{body}\n{line(6)}==\n\nplain words follow", "[SECRET]\n\nplain words follow"),
         (f"{begin}\n{body}\n\nplain words follow", "[SECRET]\n\nplain words follow"), (f"the line {begin} starts a key", "the line [SECRET] starts a key"),
         (f"{begin}\n{body}\n{begin}\n{body}\n{end}", "[SECRET]\n[SECRET]"), (f"{far}\n\nplain words", "[SECRET]\n\nplain words"),
+        (f"{begin}\n{many}\n\n{body}\n{end} x", "[SECRET] x"), (f"{begin}\n{many}\n\n{body}\nplain words", "[SECRET]\nplain words"),
+        (f"{armor}\n{block[1]}\nx", "[SECRET]\nx"), (f"{begin}\n" + f"a-b {line(40)} -- c\n" * 5000 + f"{end}.", "[SECRET]."),
         (begin + "\n" + line(64) * 20_000 + " z", "[SECRET] z"), (f"{begin}\n" + "plain words " * 50_000, "[SECRET]\n" + "plain words " * 50_000),
     ]
     masked = {r["doc_id"]: r["text"] for r in secrets.redact(docs([(i, t, "en") for i, (t, _) in enumerate(cases)])).collect()}
     assert [masked[i] for i in range(len(cases))] == [m for _, m in cases]
-    assert secrets.required(secrets.PEM) == secrets.required(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
+    assert secrets.required(secrets.PEM) == secrets.required(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----")
 
 
 def test_toxicity_folds_and_scores(spark, edge, empty):
