@@ -124,9 +124,8 @@ def shards(docs: DataFrame, dimensions: tuple[str, ...] = ("lang", "source", "si
     rows = stage(rows, "metadata")
     names = iter(f"m_{i}" for i in range(len(own)))
     placed, total = ranked(curved(rows, [d if d == "size" else next(names) for d in dimensions]), ["curve", "text_hash", "doc_id"])
-    shard = F.floor(F.col("rank") * n / max(total, 1)) if total * n < 1 << 52 else F.expr(f"CAST(rank * {n}BD / {total} AS bigint)")
-    placed = placed.withColumn("shard", shard.cast("int"))
-    first = F.ceil(F.col("shard").cast("long") * total / n).cast("long")
+    placed = placed.withColumn("shard", F.expr(f"CAST(rank * {n} div {max(total, 1)} AS int)"))
+    first = F.expr(f"(shard * {total}L + {n - 1}) div {n}")
     return placed.withColumn("slot", F.col("rank") - first).drop("rank", "text_hash")
 
 
