@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -352,6 +353,38 @@ def test_nearest_recall(spark):
     assert found >= 0.95 * total
 
 
+def test_nearest_prunes_by_ratio():
+    """Clustered vectors: recall within the lists read, share of all rows read, and no count that bounds the lists."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 24))[rng.integers(0, 400, 30_000)] + 0.25 * rng.normal(size=(30_000, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    lists = nearest.fitted(nearest.build(x[:20_000], 1.0), x[:20_000], 20)
+    assert len(lists.centroids) >= 300
+    member, read = np.zeros((len(x), len(lists.centroids)), bool), np.zeros((300, len(lists.centroids)), bool)
+    for a in range(0, len(x), 5000):
+        row, number = nearest.lists_of(lists, x[a : a + 5000], False)
+        member[a + row, number] = True
+    read[nearest.lists_of(lists, x[-300:], True)] = True
+    assert member.any(1).all() and 1 < member.sum() / len(x) <= 1.2 * nearest.COPIES
+    top = np.argsort(-(x[-300:] @ x.T), 1, kind="stable")[:, 1:21]
+    recall = np.mean([(member[top[i]] & read[i]).any(1).mean() for i in range(300)])
+    assert recall >= 0.9 and (read @ member.sum(0)).mean() / len(x) < 0.1
+    flat = rng.normal(size=(3000, 24))
+    wide = nearest.replace(nearest.build(flat, (flat**2).sum(1).max(), 16), read=10.0)
+    row, number = nearest.lists_of(wide, flat[:50], True)
+    assert len(wide.centroids) > wide.beam and len(set(zip(row, number))) == len(row) == 50 * len(wide.centroids)
+
+
+def test_nearest_block_is_brute_force():
+    rng = np.random.default_rng(9)
+    table = lambda n, base: pd.DataFrame({"vec_id": base + np.arange(n), "v": list(rng.integers(-2, 3, (n, 4)).astype(float)), "lists": [np.sort(rng.choice(16, rng.integers(1, 5), False)) for _ in range(n)]})
+    vs, qs = table(700, 0), table(90, 5000)
+    got = nearest.best_of_block(vs, qs, 7).groupby("query_id")[["vec_id", "score"]].apply(lambda g: [tuple(r) for r in g.to_numpy()]).to_dict()
+    for r in qs.itertuples():
+        near = sorted((-float(r.v @ v.v), v.vec_id) for v in vs.itertuples() if set(v.lists) & set(r.lists))
+        assert got[r.vec_id] == [(i, -s) for s, i in near[:7]]
+
+
 def test_nearest_edges(spark):
     rows = [(20, [1.0, 0.0]), (40, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0]), (4, None), (5, [float("nan"), 1.0]), (60, [None, 1.0]), (6, [0.5, 0.5]), (None, [1.0, 1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
