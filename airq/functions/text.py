@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from airq.functions.aggregates import col
 
+# Patterns of postcodes, and the characters of a formatted one, its space included.
 _EDGE_SPACE = r"^[ \t\r\n]+|[ \t\r\n]+$"
+_NOT_IN_CODE = "[^A-Z0-9]"
+_NOT_IN_SPACED_CODE = "[^A-Z0-9 ]"
+_INWARD_PART = "([A-Z0-9])([0-9][A-Z]{2})$"
+_CODE_LENGTHS = (5, 8)
 
 
 def format_postcode(c: str | Column) -> Column:
@@ -15,15 +20,15 @@ def format_postcode(c: str | Column) -> Column:
 
     The result must have 5 to 8 characters including the space.
     """
-    code = F.regexp_replace(F.upper(col(c)), "[^A-Z0-9]", "")
-    code = F.regexp_replace(code, "([A-Z0-9])([0-9][A-Z]{2})$", "$1 $2")
-    return F.when(F.length(code).between(5, 8), code)
+    code = F.regexp_replace(F.upper(col(c)), _NOT_IN_CODE, "")
+    code = F.regexp_replace(code, _INWARD_PART, "$1 $2")
+    return F.when(F.length(code).between(*_CODE_LENGTHS), code)
 
 
 def clean_postcode(c: str | Column) -> Column:
     """Upper-case code of letters, digits and single spaces."""
     code = F.upper(F.regexp_replace(col(c), _EDGE_SPACE, ""))
-    return F.regexp_replace(F.regexp_replace(code, "[^A-Z0-9 ]", ""), r"\s+", " ")
+    return F.regexp_replace(F.regexp_replace(code, _NOT_IN_SPACED_CODE, ""), r"\s+", " ")
 
 
 def postcode_area(c: str | Column) -> Column:
@@ -50,6 +55,7 @@ def number_text(c: str | Column, digits: int) -> Column:
 
 
 def distance_label(n: str | Column, mean: str | Column, median: str | Column, low: str | Column, high: str | Column) -> Column:
+    # The words of the label.
     return F.concat(
         F.lit("n = "), col(n).cast("string"),
         F.lit("\nMean = "), number_text(mean, 1),
@@ -59,6 +65,7 @@ def distance_label(n: str | Column, mean: str | Column, median: str | Column, lo
 
 
 def regression_label(n: str | Column, r: str | Column, r2: str | Column, intercept: str | Column, slope: str | Column) -> Column:
+    # The words of the label.
     return F.concat(
         F.lit("n = "), col(n).cast("string"),
         F.lit("\nr = "), number_text(r, 2),

@@ -47,6 +47,7 @@ def epoch_seconds(ts: str | Column) -> Column:
 
 
 def season(ts: str | Column) -> Column:
+    # Names and months of the seasons.
     month = F.month(col(ts))
     return (
         F.when(month.isin(12, 1, 2), "Winter")

@@ -22,6 +22,7 @@ def school_monitors(requests: DataFrame, schools: DataFrame, monitors: DataFrame
 
 def rural_urban_tables(england_wales: DataFrame, scotland: DataFrame, northern_ireland: DataFrame) -> dict[str, DataFrame]:
     """The three classifications with text codes and one set of labels."""
+    # Codes and labels of the three classifications.
     code = F.col("RUC_code")
     scottish = F.when(code == 1, "Urban Scotland").when(code == 2, "Rural Scotland")
     irish = F.when(code == "Rural", "Rural NI").when(code.isin("Urban", "Mixed urban/rural"), "Urban NI")
@@ -34,6 +35,7 @@ def rural_urban_tables(england_wales: DataFrame, scotland: DataFrame, northern_i
 
 def country_branch(country: str = "Country"):
     """Branch of a country; NULL for countries without a branch."""
+    # Names of countries.
     c = F.col(country)
     return F.when(c.isin("England", "Wales"), "England and Wales").when(
         c.isin("Scotland", "Northern Ireland", "Channel Islands"), c)

@@ -19,6 +19,7 @@ WIDE_SERIES = T.StructType([
     *[T.StructField(m, T.DoubleType()) for m in MEASURES],
 ])
 
+# Fixed values, here and below: headers of the files.
 TERMS = {
     "academic_year": ("academic_year", "string"),
     "term_name": ("term_name", "string"),
