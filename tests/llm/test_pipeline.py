@@ -2,11 +2,14 @@
 
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from airq.llm.queries import QUERIES, SQL
+from airq.session import BATCH_LIMIT, bound_batches
 from checks.compare import _rows, connect
 
 
@@ -42,6 +45,28 @@ def test_stages(spark, docs):
     assert {r["doc_id"] for r in packed} == {1, 2, 5, 7} | more and len({r["sequence_id"] for r in packed}) == 1
 
 
+@pytest.mark.parametrize("name", ["language", "line_dedup", "near_dedup", "packing"])
+def test_texts_go_to_python_in_small_batches(spark, docs, name):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["size", "rows"])
+
+    def seen():
+        texts = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("some text "), 1000).alias("text"))
+        return [tuple(r) for r in texts.mapInArrow(sizes, "size long, rows long").collect()]
+
+    before = spark.conf.getAll.get(BATCH_LIMIT)
+    try:
+        spark.conf.unset(BATCH_LIMIT)
+        dict(corpus_pipeline.STAGES)[name](spark, docs([(1, "one text", "en"), (2, "another", "en")]), "")
+        assert max(size for size, _ in seen()) < 6_000_000 and sum(n for _, n in seen()) == 3000
+        spark.conf.set(BATCH_LIMIT, "1m")
+        bound_batches(spark)
+        assert max(size for size, _ in seen()) < 2_000_000
+    finally:
+        spark.conf.unset(BATCH_LIMIT) if before is None else spark.conf.set(BATCH_LIMIT, before)
+
+
 def test_registered():
     assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
